@@ -134,18 +134,12 @@ class _Filter:
         w = tb.words_of(*tb.column_bytes(column))
         inner = np.ones(max(len(w.hash) - 1, 0), bool)
         inner[w.bounds[1:-1][(w.bounds[1:-1] > 0) & (w.bounds[1:-1] < len(w.hash))] - 1] = False
-        self.known = np.unique(w.hash if self.least == 1 else _pairs(w.hash)[inner] if len(w.hash) else w.hash)
-        self.table = np.zeros(1 << 20, bool)
-        self.table[(self.known >> tb.U64(44)).astype(np.int64)] = True
+        self.known = tb.HashTable(w.hash if self.least == 1 else _pairs(w.hash)[inner] if len(w.hash) else w.hash)
 
     def stretches(self, w: tb.Words) -> tuple[np.ndarray, np.ndarray]:
-        if not len(w.hash) or not len(self.known):
+        if not len(w.hash) or not len(self.known.keys):
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        marks = w.hash if self.least == 1 else _pairs(w.hash)
-        found = self.table[(marks >> tb.U64(44)).astype(np.int64)]
-        at = np.flatnonzero(found)
-        spot = np.minimum(np.searchsorted(self.known, marks[at]), len(self.known) - 1)
-        found[at] = self.known[spot] == marks[at]
+        found = self.known.marks(w.hash if self.least == 1 else _pairs(w.hash))
         if self.least == 1:
             return tb.spans(found, w.bounds)
         cut = w.bounds[1:-1]

@@ -76,6 +76,7 @@ class Words:
     hash: np.ndarray
     bounds: np.ndarray
     lower: np.ndarray
+    ranges: RangeHash
 
     def text(self, k: int) -> str:
         return self.lower[self.start[k] : self.end[k]].tobytes().decode("utf-8", "replace")
@@ -95,18 +96,46 @@ def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return start, end
 
 
-def range_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, salt: int = 0) -> np.ndarray:
+class RangeHash:
     """64-bit hashes of ``values[start:end]`` for many ranges at once."""
-    up, down = powers(len(values) + 1)
-    total = np.zeros(len(values) + 1, U64)
-    np.cumsum((values.astype(U64) + U64(1)) * up[:-1], out=total[1:])
-    return mix((total[end] - total[start]) * down[start], salt)
+
+    def __init__(self, values: np.ndarray):
+        up, self.down = powers(len(values) + 1)
+        self.total = np.zeros(len(values) + 1, U64)
+        np.cumsum((values.astype(U64) + U64(1)) * up[:-1], out=self.total[1:])
+
+    def __call__(self, start: np.ndarray, end: np.ndarray, salt: int = 0) -> np.ndarray:
+        return mix((self.total[end] - self.total[start]) * self.down[start], salt)
+
+
+class HashTable:
+    """Looks up many 64-bit hashes in a small sorted set."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = np.unique(keys.astype(U64))
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[(self.keys >> U64(44)).astype(np.int64)] = True
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions in ``h`` of known keys, and which keys these are."""
+        at = np.flatnonzero(self.maybe[(h >> U64(44)).astype(np.int64)])
+        if not len(at):
+            return at, at
+        spot = np.minimum(np.searchsorted(self.keys, h[at]), len(self.keys) - 1)
+        good = self.keys[spot] == h[at]
+        return at[good], spot[good]
+
+    def marks(self, h: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(h), bool)
+        out[self.find(h)[0]] = True
+        return out
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
     lower = _LOWER[data]
     start, end = spans(_WORD[data], offsets)
-    return Words(start, end, range_hash(lower, start, end), np.searchsorted(start, offsets), lower)
+    ranges = RangeHash(lower)
+    return Words(start, end, ranges(start, end), np.searchsorted(start, offsets), lower, ranges)
 
 
 def shingle_hashes(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
