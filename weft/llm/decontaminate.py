@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm import textbytes as tb
+from weft.llm.shared import map_texts
 
 SPANS = "n_words long, spans array<struct<first:int,last:int,first_byte:int,last_byte:int>>, item_ids array<string>"
 
@@ -212,7 +213,7 @@ def match_spans(docs: DataFrame, items: DataFrame, window: int = 10, shard_words
                 columns = [pa.array(np.diff(w.bounds)), pa.array(spans_, kind), pa.array([sorted(x - {None}) for x in held], pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*names, "n_words", "spans", "item_ids"])
 
-    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", " + SPANS)
+    return map_texts(docs, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", " + SPANS)
 
 
 def hit_words(spans: str = "spans") -> F.Column:

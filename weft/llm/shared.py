@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,6 +36,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_texts(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` for rows that hold whole texts.
+
+    Batches of Spark's default of 10,000 rows would hold tens of MB of text in the JVM and the Python worker each, so
+    where the session has that default it is lowered to 1,000.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(name, "10000") == "10000":
+        conf.set(name, "1000")
+    return df.mapInArrow(run, schema)
+
+
 def drop_stored(spark: SparkSession, *frames: DataFrame) -> None:
     """Delete the files behind tables made by :func:`stored`."""
     jvm = spark.sparkContext._jvm

@@ -47,7 +47,7 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", most: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def slices(batch: pa.RecordBatch, column: str = "text", most: int = 1 << 18) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Rows of ``batch`` in turn, as many as hold about ``most`` bytes of text (one row at least), with their bytes."""
     if not batch.num_rows:
         return

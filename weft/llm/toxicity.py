@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from weft.llm import textbytes as tb
 from weft.llm.boosting import BoostedTrees, Isotonic
-from weft.llm.shared import crc32_of_id, drop_stored, stored
+from weft.llm.shared import crc32_of_id, drop_stored, map_texts, stored
 
 # Common insults (English, French, German, Spanish) and second-person words.
 INSULTS = """
@@ -155,7 +155,7 @@ def learn_lexicon(sample: DataFrame, least: int = 4, most: int = 20_000) -> Lexi
 
     part = sample.filter("part = 0")
     n_bad, n_good = part.agg(F.coalesce(F.sum("y"), F.lit(0)), F.coalesce(F.sum(1 - F.col("y")), F.lit(0))).first()
-    counts = part.select("text", "y").mapInArrow(run, "key long, bad long, good long").groupBy("key").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    counts = map_texts(part.select("text", "y"), run, "key long, bad long, good long").groupBy("key").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     weight = F.log((F.col("bad") + 0.5) / (n_bad + 1) / ((F.col("good") + 0.5) / (n_good + 1)))
     kept = counts.filter(F.col("bad") >= least).select("key", weight.alias("weight")).filter("weight > 1.5").orderBy(F.desc("weight"), "key").limit(most).toArrow()
     return Lexicon(kept["key"].to_numpy().astype(np.int64).view(tb.U64), kept["weight"].to_numpy())
@@ -185,7 +185,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Co
     """At most ``max_fit_rows`` labelled rows that aren't held out, as ``(text, y, part)``; part is 0 to 9 by hash."""
     order = F.xxhash64(F.col("doc_id").cast("string"))
     known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("double").alias("y"))
-    chosen = known.filter(~held_out).orderBy(order, "y").limit(max_fit_rows).select("doc_id", "y", F.pmod(order, F.lit(10)).alias("part"))
+    chosen = known.filter(~held_out).orderBy(order, "y").limit(max_fit_rows).select("doc_id", "y", F.pmod(order, F.lit(10)).cast("int").alias("part"))
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "y", "part")
 
 
@@ -201,7 +201,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxi
                 x = features(data, offsets, lexicon).astype("<f8")
                 yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), batch.column("y"), batch.column("part")], names=["x", "y", "part"])
 
-    rows = sample.filter("part > 0").mapInArrow(run, "x binary, y double, part int").toArrow()
+    rows = map_texts(sample.filter("part > 0"), run, "x binary, y double, part int").toArrow()
     x = np.frombuffer(b"".join(rows["x"].to_pylist()), "<f8").reshape(rows.num_rows, -1)
     y, part = rows["y"].to_numpy(), rows["part"].to_numpy()
     order = np.lexsort([*x.T, y]) if len(x) else np.empty(0, int)
@@ -224,7 +224,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, max_fit_rows: int = 20_0
             for batch, data, offsets in tb.slices(whole):
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(model(data, offsets))], names=["doc_id", "score"])
 
-    scored = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
+    scored = map_texts(docs.select("doc_id", "text"), run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
     return scored.select("doc_id", learnt_split().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
@@ -238,4 +238,4 @@ def remove_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max
             for batch, data, offsets in tb.slices(whole):
                 yield batch.filter(pa.array(model(data, offsets) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_texts(docs, run, docs.schema)
