@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weft.llm import decontaminate, shared, toxicity
+from weft.llm import decontaminate, pathjoin, shared, toxicity
 
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,6 +14,11 @@ def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return toxicity.remove_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return pathjoin.one_of_each(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out; documents that are mostly benchmark text go."""
     return decontaminate.remove_spans(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -21,6 +26,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", toxic_documents),
+    ("n-gram Jaccard join", near_duplicates),
     ("benchmark decontamination", benchmark_decontamination),
 ]
 ORACLE_SQL = None
