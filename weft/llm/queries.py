@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weft.llm import decontaminate, pathjoin, quality, repeats, toxicity
+from weft.llm import chat, decontaminate, pathjoin, quality, repeats, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(chat.rotated(table(spark, sf_dir, "conversations")))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pathjoin.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
@@ -25,6 +30,10 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op8_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_scores(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -35,9 +44,27 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
+    "op5_chat_formatting": op5_chat_formatting,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
+    "op8_exact_topk_search": op8_exact_topk_search,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_chat_formatting": chat.ORACLE_SQL,
+    "op8_exact_topk_search": """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as e
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+  select q.vec_id as query_id, c.vec_id, list_dot_product(q.e, c.e)::bigint as score
+  from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id
+), r as (
+  select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+  from s
+)
+select query_id, rank, vec_id, score from r where rank <= 20""",
+}
