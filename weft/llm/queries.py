@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import chat, decontaminate, pathjoin, quality, repeats, topk, toxicity
+from weft.llm import chat, decontaminate, licenses, pathjoin, quality, repeats, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,6 +47,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scans": op1_license_scans,
     "op4_toxicity": op4_toxicity,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op1_license_scans": licenses.oracle_sql(),
     "op5_chat_formatting": chat.ORACLE_SQL,
     "op8_exact_topk_search": """
 with v as (
