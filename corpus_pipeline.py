@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weft.llm import decontaminate, pathjoin, shared, toxicity
+from weft.llm import decontaminate, mixing, pathjoin, shared, toxicity
 
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,10 +24,18 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return decontaminate.remove_spans(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document gets the rate at which to use it, so that languages meet their target weights."""
+    return mixing.mixed(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), TARGETS)
+
+
+#: Weights of the languages in tokens.
+TARGETS = {"en": 0.5, "fr": 0.2, "de": 0.2, "es": 0.1}
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", toxic_documents),
     ("n-gram Jaccard join", near_duplicates),
     ("benchmark decontamination", benchmark_decontamination),
+    ("mixing sources to target weights", source_mixing),
 ]
 ORACLE_SQL = None
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import chat, decontaminate, licenses, pathjoin, quality, repeats, topk, toxicity
+from weft.llm import chat, decontaminate, licenses, mixing, pathjoin, quality, repeats, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,15 @@ def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+#: Weights of the domains in tokens.
+TARGETS = {"en": 0.5, "fr": 0.2, "de": 0.2, "es": 0.1}
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, model = mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), TARGETS)
+    return rows.select("doc_id", "n_tokens", *(F.get("p", F.lit(k)).alias(f"p_{name}") for k, name in enumerate(model.names)), "rate")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,6 +57,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scans": op1_license_scans,
+    "op3_source_mixing": op3_source_mixing,
     "op4_toxicity": op4_toxicity,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
