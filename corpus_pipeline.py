@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weft.llm import decontaminate, mixing, pathjoin, shared, toxicity
+from weft.llm import decontaminate, linededup, mixing, pathjoin, shared, toxicity
 
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,6 +14,11 @@ def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return toxicity.remove_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that stand earlier, or nearly so, are cut out."""
+    return linededup.without_repeated_lines(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return pathjoin.one_of_each(docs)
@@ -33,6 +38,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 TARGETS = {"en": 0.5, "fr": 0.2, "de": 0.2, "es": 0.1}
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", toxic_documents),
+    ("line dedup", line_dedup),
     ("n-gram Jaccard join", near_duplicates),
     ("benchmark decontamination", benchmark_decontamination),
     ("mixing sources to target weights", source_mixing),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import chat, decontaminate, licenses, mixing, pathjoin, quality, repeats, topk, toxicity
+from weft.llm import chat, decontaminate, licenses, linededup, mixing, pathjoin, quality, repeats, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_report(table(spark, sf_dir, "documents"))
+
+
 #: Weights of the domains in tokens.
 TARGETS = {"en": 0.5, "fr": 0.2, "de": 0.2, "es": 0.1}
 
@@ -57,6 +61,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scans": op1_license_scans,
+    "op2_line_dedup": op2_line_dedup,
     "op3_source_mixing": op3_source_mixing,
     "op4_toxicity": op4_toxicity,
     "op5_chat_formatting": op5_chat_formatting,

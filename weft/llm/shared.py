@@ -58,6 +58,20 @@ def drop_stored(spark: SparkSession, *frames: DataFrame) -> None:
                 folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def maybe_in(df: DataFrame, keys: DataFrame, column: str, bits: int = 24) -> DataFrame:
+    """Rows of ``df`` whose ``column`` may be among those of ``keys``: all that are, and by chance some others.
+
+    A bitmap of ``2 ** bits`` hashed keys is made by aggregation and joined by broadcast. It has at most
+    ``2 ** (bits - 6)`` rows of 16 bytes whatever the size of either side; when it fills up, more rows pass, none is
+    lost. It keeps rows that can't match out of the shuffle of a following join.
+    """
+    place = F.shiftrightunsigned(F.xxhash64(column), 64 - bits)
+    slot, bit = F.shiftrightunsigned(place, 6), place.bitwiseAND(F.lit(63)).cast("int")
+    bitmap = keys.select(slot.alias("_slot"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("_bit")).groupBy("_slot").agg(F.bit_or("_bit").alias("_bits"))
+    joined = df.withColumns({"_slot": slot, "_bit": bit}).join(F.broadcast(bitmap), "_slot")
+    return joined.filter(F.call_function("shiftrightunsigned", "_bits", "_bit").bitwiseAND(F.lit(1)) == 1).select(*df.columns)
+
+
 def crc32_of_id(column: str = "doc_id") -> Column:
     """CRC-32 of an id written as text, the basis of every hold-out split."""
     return F.crc32(F.col(column).cast("string").cast("binary"))
