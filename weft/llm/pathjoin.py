@@ -112,7 +112,10 @@ def _children(rows: DataFrame) -> DataFrame:
 
 
 def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of a symmetric 0/1 matrix."""
+    """Edges from the first node of each component of a symmetric 0/1 matrix to its others.
+
+    As nodes are in ascending order, components in different buckets or blocks tend to have the same first node, so
+    few edges differ."""
     left, out = np.ones(len(linked), bool), []
     while left.any():
         root = int(np.argmax(left))
@@ -121,7 +124,7 @@ def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
             x = edge.pop()
             new = np.flatnonzero(linked[x] & left)
             left[new] = False
-            out += [(x, int(y)) for y in new]
+            out += [(root, int(y)) for y in new]
             edge += new.tolist()
     return out
 
@@ -147,7 +150,8 @@ def _bucket_edges(rows: DataFrame, least: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups("path", batches):
             node = t["node"].to_numpy()
-            sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint32).reshape(-1, WIDTH)
+            order = np.argsort(node)
+            node, sketch = node[order], np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint32).reshape(-1, WIDTH)[order]
             agree = np.zeros((len(node), len(node)), np.uint8)
             for k in range(WIDTH):
                 agree += sketch[:, k, None] == sketch[None, :, k]
@@ -165,7 +169,7 @@ def candidate_edges(nodes: DataFrame, similarity: float, recall: float, depth: i
     rows, found = _leaves(nodes, depth, runs_for(recall, similarity, max_depth)), None
     for level in range(depth, max_depth + 1):
         sizes = rows.groupBy("path").agg(F.count("*").alias("members"), F.min("node").alias("least")).filter("members > 1")
-        met = stored(rows.join(sizes, "path"), "buckets")
+        met = stored(rows.join(sizes, "path").hint("rebalance"), "buckets")
         edges = _bucket_edges(met.filter(F.col("members") <= limit).join(sketch, "node"), similarity * 0.7)
         large = met.filter(F.col("members") > limit)
         if level == max_depth:
@@ -184,7 +188,7 @@ def _links(parts: DataFrame, threshold: Fraction) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups("task", batches):
             node, copies, second = (t[c].to_numpy() for c in ("node", "copies", "side"))
-            order = np.lexsort((node, second))
+            order = np.argsort(node)
             node, copies, second = node[order], copies[order], second[order]
             sets = [np.frombuffer(t["tokens"][int(k)].as_py(), np.uint64) for k in order]
             n = np.array([len(x) for x in sets])
@@ -244,7 +248,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, reca
     members = sized.join(nodes.select("node", "least_id", "copies"), "node").select("node", F.col("least_id").alias("doc_id"), "copies", "component", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
     texts = docs.filter("doc_id is not null").join(members.hint("shuffle_hash"), "doc_id")
     texts = texts.dropDuplicates(["node"]) if known.groupBy("doc_id").count().filter("count > 1").limit(1).count() else texts
-    sets = stored(_token_rows(texts, size), "sets")
+    sets = _token_rows(texts, size)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     tasks = sets.select("node", "copies", "tokens", "component", "block", other).select(
         F.xxhash64("component", F.least("block", "other"), F.greatest("block", "other")).alias("task"), "node", "copies", "tokens", (F.col("block") > F.col("other")).cast("int").alias("side")
