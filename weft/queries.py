@@ -1,10 +1,751 @@
-"""Registry of queries over the driver's tables, each with an equivalent SQL text where SQL can express it."""
+"""Queries over the driver's tables, each with an equivalent SQL text where SQL can express it.
+
+The tables hold no business records, so suppliers stand for the clean reference (A) and customers for the noisy sources
+(B): nations are states, regions are countries, account balances are house numbers. :data:`VIEWS` defines these stand-ins
+once, in SQL that both engines read.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from weft import schemas
+from weft.functions import similarity, tables, text
+from weft.operators import blocking, decide, dictionary, features, validate
+from weft.plans import model as models
+from weft.sources import files
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+_NUMBER = "concat('', cast(floor({0} / 1000) as int))"
+VIEWS = {
+    "side_a": f"""
+select concat('S1-', s_suppkey) as entity_id, r_name as country, n_name as state, 'latin' as name_script, 0 as name_domain, 0 as addr_missing,
+  lower(replace(s_name, '#', ' ')) as name_norm, lower(replace(s_name, '#', ' ')) as name_core, lower(replace(s_name, '#', '')) as name_compact,
+  concat(lower(n_name), ' ', lower(r_name)) as addr_norm, {_NUMBER.format("s_acctbal")} as addr_nums, {_NUMBER.format("s_acctbal")} as house_no, s_acctbal as bal
+from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
+    "side_b": f"""
+select concat('S2-', c_custkey) as entity_id, r_name as country, case when c_mktsegment = 'HOUSEHOLD' then '' else n_name end as state,
+  'latin' as name_script, 0 as name_domain, 0 as addr_missing,
+  lower(replace(c_name, '#', ' ')) as name_norm, lower(replace(c_name, '#', ' ')) as name_core, lower(replace(c_name, '#', '')) as name_compact,
+  concat(lower(n_name), ' ', lower(c_mktsegment)) as addr_norm, {_NUMBER.format("c_acctbal")} as addr_nums, {_NUMBER.format("c_acctbal")} as house_no, c_acctbal as bal
+from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
+    "pairs": """
+select concat('S1-', s_suppkey) as a_id, concat('S2-', c_custkey) as b_id, r_name as country, n_name as state,
+  round(1 / (1 + abs(s_acctbal - c_acctbal) / 1000), 6) as p,
+  round(100 / (1 + abs(s_acctbal - c_acctbal) / 2000), 2) as n_tsr,
+  case when c_mktsegment = 'HOUSEHOLD' then -1.0 else round(100 - abs(c_acctbal) / 200, 2) end as a_tsr,
+  case when c_mktsegment = 'BUILDING' then 0.0 when floor(s_acctbal / 1000) = floor(c_acctbal / 1000) then 1.0 else -1.0 end as house_rel,
+  case when floor(s_acctbal / 500) = floor(c_acctbal / 500) then 1.0 else 0.0 end as n_cmp_eq,
+  case when c_mktsegment = 'HOUSEHOLD' then 1 else 0 end as addr_missing, s_acctbal as a_bal, c_acctbal as b_bal
+from supplier join customer on s_nationkey = c_nationkey join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
+    "truth": """
+select min(concat('S1-', s_suppkey)) as a_id, concat('S2-', c_custkey) as b_id
+from supplier join customer on s_nationkey = c_nationkey and floor(s_acctbal / 1000) = floor(c_acctbal / 1000) group by c_custkey""",
+    "entities": "select concat('S1-', s_suppkey) as a_id from supplier",
+    "names": """
+select distinct x.p_name as name_a, y.p_name as name_b
+from (select distinct p_name, p_brand, p_type from part) x join (select distinct p_name, p_brand, p_type from part) y on x.p_brand = y.p_brand and x.p_type = y.p_type""",
+    "lists": """
+select concat('S1-', o_custkey) as source1_entity_id, string_agg(concat(case when o_orderstatus = 'F' then 'S2-' when o_orderstatus = 'O' then 'S3-' else 'S1-' end, o_orderkey), ',') as matched_entity_ids
+from orders group by o_custkey""",
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A stand-in of :data:`VIEWS`."""
+    sql = VIEWS[name]
+    used = [t for t in TABLES if f" {t} " in f"{sql} " or f" {t}\n" in sql or f" {t})" in sql]
+    for t in used:
+        sql = sql.replace(f"from {t} ", f"from {{{t}}} as {t} ").replace(f"from {t})", f"from {{{t}}} as {t})").replace(f"join {t} ", f"join {{{t}}} as {t} ").replace(f"from {t}\n", f"from {{{t}}} as {t}\n")
+        sql = sql[: -len(f"from {t}")] + f"from {{{t}}} as {t}" if sql.endswith(f"from {t}") else sql
+    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in used})
+
+
+def query(sql: str | None = None, *views: str) -> Callable[[Query], Query]:
+    """Registers a function under its name; ``sql`` may use the stand-ins named in ``views``."""
+
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            heads = ", ".join(f"{v} as ({VIEWS[v]})" for v in views)
+            ORACLE_SQL[f.__name__] = (f"with recursive {heads}\n" if heads and "recursive" in sql else f"with {heads}\n" if heads else "") + sql.replace("/*recursive*/", "")
+        return f
+
+    return register
+
+
+def quoted(values) -> str:
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
+
+# -- Scans, projections and predicates ---------------------------------------------------------------------------------
+
+
+@query("select p_name, p_brand, p_size * 2 as double_size from part where p_size >= 20 and p_retailprice < 1500")
+def scan_project(spark, d):
+    part = files.read_parquet(spark, f"{d}/part.parquet", columns=["p_name", "p_brand", "p_size", "p_retailprice"])
+    return part.filter("p_size >= 20 and p_retailprice < 1500").select("p_name", "p_brand", (F.col("p_size") * 2).alias("double_size"))
+
+
+@query("select c_custkey, coalesce(o_orderpriority, '') as priority, coalesce(o_totalprice, 0) as total from customer left join orders on c_custkey = o_custkey")
+def na_fill(spark, d):
+    joined = table(spark, d, "customer").join(table(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left")
+    return joined.select("c_custkey", F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").alias("total")).na.fill("", ["priority"]).na.fill(0.0, ["total"])
+
+
+@query("select l_returnflag, l_linestatus, count(*) as n, round(sum(l_quantity), 2) as qty from lineitem where (l_returnflag = 'A' and l_linestatus in ('F', 'O')) or (l_returnflag in ('N', 'R') and l_quantity >= 10) group by all")
+def in_list_filter(spark, d):
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    kept = table(spark, d, "lineitem").filter(((flag == "A") & status.isin("F", "O")) | (flag.isin("N", "R") & (F.col("l_quantity") >= 10)))
+    return kept.groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.round(F.sum("l_quantity"), 2).alias("qty"))
+
+
+@query("select lang, count(*) as n from documents where regexp_matches(text, '[À-ÿ]') group by lang")
+def regex_filter(spark, d):
+    return table(spark, d, "documents").filter(F.col("text").rlike("[À-ÿ]")).groupBy("lang").agg(F.count("*").alias("n"))
+
+
+@query("select a_id, b_id, case when addr_missing = 1 then -1.0 else a_tsr end as a_tsr from pairs", "pairs")
+def case_sentinel(spark, d):
+    return view(spark, d, "pairs").select("a_id", "b_id", F.when(F.col("addr_missing") == 1, -1.0).otherwise(F.col("a_tsr")).alias("a_tsr"))
+
+
+@query("select p_partkey, case p_type when 'TG' then 'AP' when 'DC' then 'WA' else p_type end as state from part")
+def value_replace(spark, d):
+    return table(spark, d, "part").select("p_partkey", text.block_state(F.col("p_type")).alias("state"))
+
+
+@query("select a_id, b_id, cast(case when house_rel = 1 then 0.6 when house_rel = -1 then 0.8 else 0.7 end as double) as limit_used from pairs", "pairs")
+def replace_default(spark, d):
+    limits = F.create_map(F.lit("1.0"), F.lit(0.6), F.lit("-1.0"), F.lit(0.8))
+    return view(spark, d, "pairs").select("a_id", "b_id", F.coalesce(limits[F.col("house_rel").cast("double").cast("string")], F.lit(0.7)).alias("limit_used"))
+
+
+@query("select c_custkey, greatest(least(c_acctbal, 5000.0), 0.0) as clipped from customer")
+def clip_values(spark, d):
+    return table(spark, d, "customer").select("c_custkey", F.greatest(F.least("c_acctbal", F.lit(5000.0)), F.lit(0.0)).alias("clipped"))
+
+
+_GROUPED = "select *, 4 * addr_missing + 2 * (case when count(*) over (partition by a_id) > 60 then 1 else 0 end) + (case when count(*) over (partition by b_id) <= 4 then 1 else 0 end) as g from pairs"
+
+
+def _grouped(spark: SparkSession, d: str) -> DataFrame:
+    rows = view(spark, d, "pairs")
+    n = lambda k: F.count("*").over(features.Window.partitionBy(k))
+    ambiguous, single = F.when(n("a_id") > 60, 2).otherwise(1), F.when(n("b_id") <= 4, 1).otherwise(2)
+    return rows.withColumn("g", decide.group_key(F.col("addr_missing"), ambiguous, single))
+
+
+@query(f"select a_id, b_id, g from ({_GROUPED})", "pairs")
+def group_key(spark, d):
+    return _grouped(spark, d).select("a_id", "b_id", "g")
+
+
+@query("select concat('N-', n_nationkey) as entity_id, n_name as business_name, coalesce(r_name, '') as business_address, '\"q\"' as country from nation join region on n_regionkey = r_regionkey")
+def tsv_round_trip(spark, d):
+    rows = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    out = rows.select(F.concat(F.lit("N-"), "n_nationkey").alias("entity_id"), F.col("n_name").alias("business_name"), F.col("r_name").alias("business_address"), F.lit('"q"').alias("country"))
+    path = _scratch(spark, "nation.tsv")
+    files.write_tsv(out, path)
+    return files.read_tsv(spark, path)
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A path in the folder that driver and executors share."""
+    import tempfile
+    import uuid
+
+    folder = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp()
+    return f"{folder.rstrip('/')}/{uuid.uuid4().hex}-{name}"
+
+
+@query("select distinct n_name as country from nation order by 1")
+def distinct_partitions(spark, d):
+    return table(spark, d, "nation").select(F.col("n_name").alias("country")).distinct().orderBy("country")
+
+
+# -- Joins and lists ---------------------------------------------------------------------------------------------------
+
+
+@query("select t.a_id, t.b_id, a.name_core as a_name, b.name_core as b_name from truth t join side_a a on a.entity_id = t.a_id join side_b b on b.entity_id = t.b_id", "truth", "side_a", "side_b")
+def inner_truth_join(spark, d):
+    named = lambda side: view(spark, d, f"side_{side}").select(F.col("entity_id").alias(f"{side}_id"), F.col("name_core").alias(f"{side}_name"))
+    return view(spark, d, "truth").join(named("a"), "a_id").join(named("b"), "b_id")
+
+
+@query("select p.a_id, p.b_id, case when t.a_id is null then 0 else 1 end as y from pairs p left join truth t on p.a_id = t.a_id and p.b_id = t.b_id", "pairs", "truth")
+def left_label_join(spark, d):
+    return models.labelled(view(spark, d, "pairs").select("a_id", "b_id"), view(spark, d, "truth"))
+
+
+@query("select s_suppkey, s_name from supplier where s_nationkey in (select c_nationkey from customer where c_acctbal > 9000)")
+def semi_holdout(spark, d):
+    rich = table(spark, d, "customer").filter("c_acctbal > 9000").select(F.col("c_nationkey").alias("s_nationkey"))
+    return table(spark, d, "supplier").join(rich, "s_nationkey", "left_semi").select("s_suppkey", "s_name")
+
+
+@query("select c_custkey from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
+def anti_holdout(spark, d):
+    return table(spark, d, "customer").join(table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey")
+
+
+@query("select e.a_id as source1_entity_id, coalesce(string_agg(t.b_id, ',' order by t.b_id), '') as matched_entity_ids from entities e left join truth t using (a_id) group by e.a_id", "entities", "truth")
+def spine_lists(spark, d):
+    return decide.match_lists(view(spark, d, "truth"), view(spark, d, "entities"))
+
+
+@query("select source1_entity_id as a_id, unnest(string_split(matched_entity_ids, ',')) as b_id from lists", "lists")
+def truth_lists(spark, d):
+    return decide.truth_pairs(view(spark, d, "lists"))
+
+
+# -- Aggregation, windows, sampling ------------------------------------------------------------------------------------
+
+
+@query("select entity_id, count(*) over (partition by country, name_core) as amb_name, case when addr_norm = '' then 0 else count(*) over (partition by country, addr_norm, house_no) end as amb_addr, count(*) over (partition by country, state, name_compact) as name_uniq_state from side_b", "side_b")
+def ambiguity_counts(spark, d):
+    found = features.ambiguity(view(spark, d, "side_b"))
+    return found.select("entity_id", *(F.col(c).cast("long").alias(c) for c in ("amb_name", "amb_addr", "name_uniq_state")))
+
+
+@query("select a_id, b_id, max(n) as sim_name, max(x) as sim_addr from (select a_id, b_id, p as n, 0.0 as x from pairs where p > 0.3 union all select a_id, b_id, 0.0, n_tsr / 100 from pairs where n_tsr > 40) group by a_id, b_id", "pairs")
+def channel_max_merge(spark, d):
+    rows = view(spark, d, "pairs")
+    return blocking.merged_channels({"sim_name": rows.filter("p > 0.3").withColumn("sim", F.col("p")), "sim_addr": rows.filter("n_tsr > 40").withColumn("sim", F.col("n_tsr") / 100)})
+
+
+_RETRIEVED = "select a_id, b_id, case when p > 0.5 then p else 0 end as sim_name, case when a_tsr > 60 then a_tsr else 0 end as sim_addr from pairs where p > 0.5 or a_tsr > 60"
+
+
+@query(
+    f"""select sum(n)::bigint as n_true, sum(hits)::bigint as n_found, round(sum(hits) / sum(n), 6) as pair_recall, round(sum(by_name) / sum(n), 6) as name_recall, round(sum(by_addr) / sum(n), 6) as addr_recall,
+    round(avg(r), 6) as entity_recall, round(avg((r = 1)::int), 6) as full_entity_recall
+    from (select t.a_id, count(*) as n, count(c.b_id) as hits, count(*) filter (c.sim_name > 0) as by_name, count(*) filter (c.sim_addr > 0) as by_addr, count(c.b_id) / count(*) as r
+      from truth t left join ({_RETRIEVED}) c on t.a_id = c.a_id and t.b_id = c.b_id group by t.a_id)""",
+    "pairs",
+    "truth",
+)
+def recall_report(spark, d):
+    rows = view(spark, d, "pairs")
+    over = lambda c, x: F.when(F.col(c) > x, F.col(c)).otherwise(0.0)
+    found = rows.filter("p > 0.5 or a_tsr > 60").select("a_id", "b_id", over("p", 0.5).alias("sim_name"), over("a_tsr", 60).alias("sim_addr"))
+    report = decide.recall_report(found, view(spark, d, "truth"))
+    return report.select("n_true", "n_found", *(F.round(c, 6).alias(c) for c in report.columns[2:]))
+
+
+@query("select country, count(*) as n, round(avg(p), 6) as mean_p from pairs group by rollup (country)", "pairs")
+def country_rollup(spark, d):
+    return view(spark, d, "pairs").rollup("country").agg(F.count("*").alias("n"), F.round(F.avg("p"), 6).alias("mean_p"))
+
+
+_A = "over (partition by a_id)"
+_B = "over (partition by b_id)"
+_COMBO = "select *, round(greatest(least(n_tsr, 100), 0) / 2 + greatest(least(a_tsr, 100), 0) / 2, 4) as combo from pairs"
+_WINDOWED = "combo n_cands n_tsr_max n_tsr_rank n_tsr_gap a_tsr_max a_tsr_rank a_tsr_gap combo_max combo_gap n_hi_name n_hi_addr n_house_eq n_name_eq n_both_eq b_deg b_combo_max b_combo_gap b_name_eq_cnt b_house_eq_cnt twin_better".split()
+
+
+@query(
+    f"""select a_id, b_id, round(combo, 4) as combo, count(*) {_A}::double as n_cands,
+    round(max(n_tsr) {_A}, 4) as n_tsr_max, (rank() over (partition by a_id order by n_tsr desc))::double as n_tsr_rank, round(max(n_tsr) {_A} - n_tsr, 4) as n_tsr_gap,
+    round(max(a_tsr) {_A}, 4) as a_tsr_max, (rank() over (partition by a_id order by a_tsr desc))::double as a_tsr_rank, round(max(a_tsr) {_A} - a_tsr, 4) as a_tsr_gap,
+    round(max(combo) {_A}, 4) as combo_max, round(max(combo) {_A} - combo, 4) as combo_gap,
+    (count(*) filter (n_tsr >= 90) {_A})::double as n_hi_name, (count(*) filter (a_tsr >= 90) {_A})::double as n_hi_addr,
+    (count(*) filter (house_rel = 1) {_A})::double as n_house_eq, (count(*) filter (n_cmp_eq = 1) {_A})::double as n_name_eq, (count(*) filter (house_rel = 1 and n_cmp_eq = 1) {_A})::double as n_both_eq,
+    count(*) {_B}::double as b_deg, round(max(combo) {_B}, 4) as b_combo_max, round(max(combo) {_B} - combo, 4) as b_combo_gap,
+    (count(*) filter (n_cmp_eq = 1) {_B})::double as b_name_eq_cnt, (count(*) filter (house_rel = 1) {_B})::double as b_house_eq_cnt,
+    (case when house_rel = -1 and count(*) filter (house_rel = 1 and n_cmp_eq = 1) {_A} > 0 then 1 else 0 end)::double as twin_better
+    from ({_COMBO})""".replace(f"count(*) {_A}::double", f"(count(*) {_A})::double").replace(f"count(*) {_B}::double", f"(count(*) {_B})::double"),
+    "pairs",
+)
+def competition_windows(spark, d):
+    rows = features.group_features(view(spark, d, "pairs"))
+    return rows.select("a_id", "b_id", *((F.round(c, 4) + F.lit(0.0)).alias(c) for c in _WINDOWED))
+
+
+@query(
+    f"""select a_id, b_id, round(max(p) {_A}, 6) as p_max, (rank() over (partition by a_id order by p desc))::double as p_rank, round(sum(p) {_A}, 6) as p_sum, round(max(p) {_A} - p, 6) as p_gap,
+    coalesce(nth_value(p, 2) over (partition by a_id order by p desc rows between unbounded preceding and unbounded following), 0) as p_second,
+    (count(*) filter (p >= 0.5) {_A})::double as n_p50, (count(*) filter (p >= 0.9) {_A})::double as n_p90,
+    round(ln(least(greatest(p, 1e-6), 1 - 1e-6) / (1 - least(greatest(p, 1e-6), 1 - 1e-6))), 4) as p_logit,
+    round(max(p) {_B}, 6) as b_p_max, (rank() over (partition by b_id order by p desc))::double as b_p_rank, round(sum(p) {_B}, 6) as b_p_sum, round(max(p) {_B} - p, 6) as b_p_gap, (count(*) filter (p >= 0.5) {_B})::double as b_n_p50
+    from pairs""",
+    "pairs",
+)
+def stack_features(spark, d):
+    rows = features.stack_features(view(spark, d, "pairs").select("a_id", "b_id", "p"))
+    return rows.select("a_id", "b_id", *((F.round(c, 4 if c == "p_logit" else 6) + F.lit(0.0)).alias(c) for c in schemas.PROBABILITY_FEATURES if c != "p"))
+
+
+@query("select part, a_id, b_id, sim from (select state as part, a_id, b_id, p as sim, row_number() over (partition by state, a_id order by p desc, b_id) as f, row_number() over (partition by state, b_id order by p desc, a_id) as r from pairs) where f <= 5 or r <= 2", "pairs")
+def topk_both_ways(spark, d):
+    rows = view(spark, d, "pairs").select(F.col("state").alias("part"), "a_id", "b_id", F.col("p").alias("sim"))
+    return blocking.top_matches(rows, 5, 2).join(rows, ["a_id", "b_id", "sim"])
+
+
+@query("select a_id, b_id, p from (select *, row_number() over (partition by b_id order by p desc, a_id) as k from pairs) where k = 1", "pairs")
+def keep_best(spark, d):
+    return decide.best_of_each(view(spark, d, "pairs")).select("a_id", "b_id", "p")
+
+
+@query()
+def hash_sample(spark, d):
+    return features.hash_sample(table(spark, d, "lineitem"), 0.25, 7, "l_orderkey", "l_linenumber", always=F.col("l_returnflag") == "R")
+
+
+@query("select a_id, case when n = 1 then 0 else 1 end as several from (select a_id, count(*) as n from truth group by a_id) order by n desc, a_id limit 5", "truth")
+def first_examples(spark, d):
+    counts = view(spark, d, "truth").groupBy("a_id").agg(F.count("*").alias("n"))
+    return counts.orderBy(F.desc("n"), "a_id").limit(validate.EXAMPLES).select("a_id", (F.col("n") > 1).cast("int").alias("several"))
+
+
+# -- Set operations ----------------------------------------------------------------------------------------------------
+
+
+@query("select s_name as name, s_acctbal as bal from supplier union all select c_name, c_acctbal from customer")
+def union_sources(spark, d):
+    a = table(spark, d, "supplier").select(F.col("s_name").alias("name"), F.col("s_acctbal").alias("bal"))
+    return a.unionByName(table(spark, d, "customer").select(F.col("c_name").alias("name"), F.col("c_acctbal").alias("bal")))
+
+
+@query("select c_nationkey from customer where c_acctbal < 0 intersect select s_nationkey from supplier where s_acctbal > 5000")
+def intersect_ids(spark, d):
+    return table(spark, d, "customer").filter("c_acctbal < 0").select("c_nationkey").intersect(table(spark, d, "supplier").filter("s_acctbal > 5000").select("s_nationkey"))
+
+
+@query("select p_partkey from part except select l_partkey from lineitem where l_quantity > 45")
+def except_ids(spark, d):
+    return table(spark, d, "part").select("p_partkey").exceptAll(table(spark, d, "lineitem").filter("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey")).distinct())
+
+
+_JACCARD = "len(list_intersect(x, y)) / nullif(len(x) + len(y) - len(list_intersect(x, y)), 0)"
+
+
+@query(f"select name_a, name_b, round(case when len(x) = 0 or len(y) = 0 then 0 else {_JACCARD} end, 6) as jaccard, len(list_intersect(x, y)) as shared from (select *, list_distinct(string_split(name_a, ' ')) as x, list_distinct(string_split(name_b, ' ')) as y from names)", "names")
+def token_jaccard(spark, d):
+    a, b = F.col("name_a"), F.col("name_b")
+    return view(spark, d, "names").select("name_a", "name_b", F.round(similarity.token_jaccard(a, b), 6).alias("jaccard"), similarity.shared_tokens(a, b).cast("long").alias("shared"))
+
+
+# -- Retrieval ---------------------------------------------------------------------------------------------------------
+
+
+def _blocked(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return blocking.partitioned(view(spark, d, "side_a"), view(spark, d, "side_b"))
+
+
+_PARTS = """pa as (select concat(country, '|', state) as part, entity_id as id, name_compact, trim(concat(addr_norm, ' ', addr_nums)) as addr_text from side_a),
+st as (select distinct country, state from side_a),
+pb as (select concat(st.country, '|', st.state) as part, entity_id as id, name_compact, trim(concat(addr_norm, ' ', addr_nums)) as addr_text
+  from side_b b join st on b.country = st.country and (b.state = st.state or b.state = '' or st.state = ''))"""
+_TERMS = {"name": "unnest([name_compact[k : k + 2] for k in range(1, length(name_compact) - 1)])", "addr": "unnest(list_filter(string_split_regex(addr_text, '\\s+'), lambda t: t <> ''))"}
+
+
+def _channel_sql(kind: str) -> str:
+    """CTEs of a channel: postings, inverse document frequencies, weights and scores."""
+    posting = lambda s: f"{kind}_t{s} as (select part, id, term, count(*) as n from (select part, id, {_TERMS[kind]} as term from p{s}) group by part, id, term)"
+    weight = lambda s: f"""{kind}_w{s} as (select part, id, term, raw / sqrt(sum(raw * raw) over (partition by part, id)) as w
+      from (select part, id, term, (1 + ln(n)) * idf as raw from {kind}_t{s} join {kind}_idf using (part, term)))"""
+    return f"""{posting("a")}, {posting("b")},
+{kind}_idf as (select part, term, ln((1 + size) / (1 + df)) + 1 as idf from (select part, term, count(*) as df from {kind}_tb group by part, term) join (select part, count(*) as size from pb group by part) using (part) where size <= 1000 or df <= 0.1 * size),
+{weight("a")}, {weight("b")},
+{kind}_s as (select a.part, a.id as a_id, b.id as b_id, round(sum(a.w * b.w), 6) as sim from {kind}_wa a join {kind}_wb b on a.part = b.part and a.term = b.term group by a.part, a.id, b.id having round(sum(a.w * b.w), 6) > {blocking.NAME.threshold if kind == "name" else blocking.ADDRESS.threshold})"""
+
+
+def _retrieval(select: str, *kinds: str) -> str:
+    return ", " + ", ".join([_PARTS, *map(_channel_sql, kinds)]) + "\n" + select
+
+
+@query(_retrieval("select part, id, length(addr_text) as n_chars from pb"), "side_a", "side_b")
+def nostate_fanout(spark, d):
+    return _blocked(spark, d)[1].select("part", "id", F.length("addr_text").cast("long").alias("n_chars"))
+
+
+@query(_retrieval("select part, id, term, n from name_tb", "name"), "side_a", "side_b")
+def char_ngrams(spark, d):
+    return blocking.terms(_blocked(spark, d)[1], "name_compact", 3)
+
+
+@query(_retrieval("select part, term, round(idf, 6) as idf from addr_idf", "addr"), "side_a", "side_b")
+def document_frequency(spark, d):
+    b = _blocked(spark, d)[1]
+    found = blocking.document_frequency(blocking.terms(b, "addr_text", None), b.groupBy("part").agg(F.count("*").alias("size")))
+    return found.select("part", "term", F.round("idf", 6).alias("idf"))
+
+
+@query(_retrieval("select part, id, term, round(w, 5) as w from addr_wa", "addr"), "side_a", "side_b")
+def tfidf_weights(spark, d):
+    a, b = _blocked(spark, d)
+    idf = blocking.document_frequency(blocking.terms(b, "addr_text", None), b.groupBy("part").agg(F.count("*").alias("size")))
+    return blocking.weights(blocking.terms(a, "addr_text", None), idf).select("part", "id", "term", F.round("w", 5).alias("w"))
+
+
+@query(_retrieval("select part, a_id, b_id, sim from name_s", "name"), "side_a", "side_b")
+def cosine_name_channel(spark, d):
+    return blocking.channel_scores(*_blocked(spark, d), blocking.NAME)
+
+
+@query(_retrieval("select part, a_id, b_id, sim from addr_s", "addr"), "side_a", "side_b")
+def cosine_addr_channel(spark, d):
+    return blocking.channel_scores(*_blocked(spark, d), blocking.ADDRESS)
+
+
+_KEPT = lambda kind, c: f"select a_id, b_id, sim from (select *, row_number() over (partition by part, a_id order by sim desc, b_id) as f, row_number() over (partition by part, b_id order by sim desc, a_id) as r from {kind}_s) where f <= {c.forward} or r <= {c.reverse}"
+
+
+@query(
+    _retrieval(
+        f"select a_id, b_id, max(n) as sim_name, max(x) as sim_addr from (select a_id, b_id, sim as n, 0.0 as x from ({_KEPT('name', blocking.NAME)}) union all select a_id, b_id, 0.0, sim from ({_KEPT('addr', blocking.ADDRESS)})) group by a_id, b_id",
+        "name",
+        "addr",
+    ),
+    "side_a",
+    "side_b",
+)
+def block_union(spark, d):
+    return blocking.candidate_pairs(view(spark, d, "side_a"), view(spark, d, "side_b"))
+
+
+@query()
+def approximate_blocking(spark, d):
+    return blocking.approximate_pairs(view(spark, d, "side_a"), view(spark, d, "side_b"), 0.4)
+
+
+# -- Similarity --------------------------------------------------------------------------------------------------------
+
+#: Longest common subsequence of the pairs of a CTE ``todo(x, y)``, a row of the table for each character of x.
+_LCS = """
+chars as (select distinct x, y, string_split(y, '') as cs from todo where x <> '' and y <> ''),
+lcs(x, y, i, cells) as (
+  select x, y, 0, list_transform(cs, lambda c: 0) from chars
+  union all
+  select l.x, l.y, l.i + 1, list_transform(
+    range(1, len(l.cells) + 1),
+    lambda j: list_max(list_transform(range(1, j + 1), lambda k: case when substr(l.y, k::int, 1) = substr(l.x, l.i + 1, 1) then coalesce(l.cells[k - 1], 0) + 1 else l.cells[k] end)))
+  from lcs l where l.i < length(l.x)
+),
+lengths as (select x, y, cells[-1] as n from lcs where i = length(x)),
+ratios as (select t.x, t.y, case when t.x = t.y then 100.0 else 200.0 * coalesce(n, 0) / (length(t.x) + length(t.y)) end as r from (select distinct x, y from todo) t left join lengths l on t.x = l.x and t.y = l.y)"""
+_SORTED = "array_to_string(list_sort(string_split({0}, ' ')), ' ')"
+
+
+def _compared(spark: SparkSession, d: str, **functions) -> DataFrame:
+    rows = view(spark, d, "names").select("name_a", "name_b", F.col("name_a").alias("s_a"), F.col("name_b").alias("s_b"))
+    found = similarity.compared(rows, {k: (f, "s") for k, f in functions.items()})
+    return found.select("name_a", "name_b", *((F.round(k, 4) + F.lit(0.0)).alias(k) for k in functions))
+
+
+@query(f", todo as (select name_a as x, name_b as y from names), {_LCS} select x as name_a, y as name_b, round(r, 4) as ratio from ratios /*recursive*/", "names")
+def indel_ratio(spark, d):
+    return _compared(spark, d, ratio=similarity.ratio)
+
+
+@query(f", todo as (select {_SORTED.format('name_a')} as x, {_SORTED.format('name_b')} as y from names), {_LCS} select name_a, name_b, round(r, 4) as ratio from names join ratios on x = {_SORTED.format('name_a')} and y = {_SORTED.format('name_b')} /*recursive*/", "names")
+def token_sort_ratio(spark, d):
+    return _compared(spark, d, ratio=similarity.token_sort_ratio)
+
+
+@query(
+    f""", parts as (
+  select name_a, name_b, list_intersect(xs, ys) as common, list_filter(xs, lambda t: not list_contains(ys, t)) as da, list_filter(ys, lambda t: not list_contains(xs, t)) as db
+  from (select *, list_distinct(string_split(name_a, ' ')) as xs, list_distinct(string_split(name_b, ' ')) as ys from names)
+), texts as (
+  select *, array_to_string(list_sort(common), ' ') as i, trim(concat(array_to_string(list_sort(common), ' '), ' ', array_to_string(list_sort(da), ' '))) as fa,
+    trim(concat(array_to_string(list_sort(common), ' '), ' ', array_to_string(list_sort(db), ' '))) as fb from parts
+), todo as (select fa as x, fb as y from texts union select i, fa from texts union select i, fb from texts), {_LCS}
+select name_a, name_b, round(case when i <> '' and (len(da) = 0 or len(db) = 0) then 100.0 when i = '' then r1.r else greatest(r1.r, r2.r, r3.r) end, 4) as ratio
+from texts join ratios r1 on r1.x = fa and r1.y = fb join ratios r2 on r2.x = i and r2.y = fa join ratios r3 on r3.x = i and r3.y = fb /*recursive*/""",
+    "names",
+)
+def token_set_ratio(spark, d):
+    return _compared(spark, d, ratio=similarity.token_set_ratio)
+
+
+@query()
+def partial_ratio(spark, d):
+    return _compared(spark, d, ratio=similarity.partial_ratio)
+
+
+@query("select name_a, name_b, round(jaro_winkler_similarity(name_a, name_b), 4) as jw from names", "names")
+def jaro_winkler(spark, d):
+    return _compared(spark, d, jw=similarity.jaro_winkler)
+
+
+@query("select name_a, name_b, levenshtein(name_a, name_b) as edits from names", "names")
+def levenshtein_edits(spark, d):
+    return view(spark, d, "names").select("name_a", "name_b", F.levenshtein("name_a", "name_b").cast("long").alias("edits"))
+
+
+@query(f", todo as (select name_a as x, name_b as y from names), {_LCS} select x as name_a, y as name_b, case when x = y then length(x) else coalesce(n, 0) end as n from (select distinct x, y from todo) left join lengths using (x, y) /*recursive*/", "names")
+def lcs_in_sql(spark, d):
+    return view(spark, d, "names").select("name_a", "name_b", similarity.lcs_expression(F.col("name_a"), F.col("name_b")).cast("long").alias("n"))
+
+
+@query()
+def pair_features(spark, d):
+    pairs = blocking.candidate_pairs(view(spark, d, "side_a"), view(spark, d, "side_b"))
+    return features.pair_features(pairs, view(spark, d, "side_a"), view(spark, d, "side_b"))
+
+
+# -- Normalisation -----------------------------------------------------------------------------------------------------
+
+_TLD = f"\\.({'|'.join(tables.TLDS)})\\b"
+
+
+@query(f"select page_id, (regexp_matches(host, '{_TLD}') and position(' ' in replace(trim(host), 'www.', '')) = 0)::int as is_domain, regexp_replace(replace(host, 'www.', ' '), '{_TLD}', ' ', 'g') as bare from (select page_id, lower(string_split(url, '/')[3]) as host from pages)")
+def domain_names(spark, d):
+    host = F.lower(F.get(F.split("url", "/"), F.lit(2)))
+    return table(spark, d, "pages").select("page_id", text.is_domain(host).alias("is_domain"), text.without_domain(host).alias("bare"))
+
+
+@query("select doc_id, translate(replace(text, 'ß', 'ss'), 'àâäáãçéèêëíìîïñóòôöõúùûüýÿÀÂÄÁÃÇÉÈÊËÍÌÎÏÑÓÒÔÖÕÚÙÛÜÝ', 'aaaaaceeeeiiiinooooouuuuyyAAAAACEEEEIIIINOOOOOUUUUY') as folded from documents")
+def unaccented_text(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.unaccented(F.col("text")).alias("folded"))
+
+
+@query("select doc_id, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) as words from documents")
+def punctuation_to_space(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.plain_words(F.col("text")).alias("words"))
+
+
+@query("select c_custkey, list_transform(ws, lambda w: case when length(regexp_replace(w, '[^a-z]', '', 'g')) >= 3 then translate(w, '01', 'ol') else w end) as words from (select c_custkey, [lower(replace(c_name, '#', '')), lower(c_mktsegment), 'a1', '10'] as ws from customer)")
+def digit_typos(spark, d):
+    words = F.array(F.lower(F.replace("c_name", F.lit("#"), F.lit(""))), F.lower("c_mktsegment"), F.lit("a1"), F.lit("10"))
+    return table(spark, d, "customer").select("c_custkey", text.letters_for_digits(words).alias("words"))
+
+
+_LEGAL = quoted(tables.LEGAL_TOKENS)
+
+
+@query(f"select doc_id, case when len(kept) > 0 then kept else ws end as words from (select doc_id, ws, list_filter(ws, lambda w: w not in ({_LEGAL})) as kept from (select doc_id, list_filter(string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' '), lambda w: w <> '') as ws from documents))")
+def legal_forms(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.without_legal_forms(text.tokens(text.plain_words(F.col("text")))).alias("words"))
+
+
+@query(
+    f"""select p_partkey, list_filter(list_transform(ws, lambda w, i: case when list_position(ws, w) = i then w end), lambda w: w is not null) as words
+    from (select p_partkey, list_filter(list_transform(string_split(lower(concat(p_name, ' street near ', p_type, ' road unit ', p_name)), ' '), lambda w: case w {' '.join(f"when '{k}' then '{v}'" for k, v in tables.SHORT_FORMS.items())} else w end), lambda w: w <> '' and w not in ({quoted(tables.ADDRESS_FILLERS + tables.NULL_TOKENS)})) as ws from part)"""
+)
+def address_short_forms(spark, d):
+    words = F.split(F.lower(F.concat("p_name", F.lit(" street near "), "p_type", F.lit(" road unit "), "p_name")), " ")
+    return table(spark, d, "part").select("p_partkey", text.short_forms(words).alias("words"))
+
+
+@query("select c_custkey, replace(replace(lower(c_name), '#', ''), 'c', 'llc') as words from customer")
+def acronyms(spark, d):
+    dotted = F.replace(F.replace(F.lower("c_name"), F.lit("#"), F.lit("")), F.lit("c"), F.lit("l.l.c."))
+    return table(spark, d, "customer").select("c_custkey", text.joined_acronyms(dotted).alias("words"))
+
+
+@query("select doc_id, 'latin' as script from documents")
+def script_of_text(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.script_column(F.col("text")).alias("script"))
+
+
+@query()
+def normalised_records(spark, d):
+    raw = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    columns = [F.concat(F.lit("S1-"), "s_suppkey").alias("entity_id"), F.col("s_name").alias("business_name"), F.concat_ws(", ", F.concat("s_suppkey", F.lit(" Main Street")), "n_name", F.lit("TX")).alias("business_address"), F.lit("US").alias("country")]
+    return text.normalised(raw.select(*columns))
+
+
+@query(
+    """, words as (select string_split(p_name, ' ') as native, string_split(lower(concat(p_brand, ' ', p_type)), ' ') as latin from part),
+    sides as (select unnest(list_zip(native, latin)) as z from words where len(native) <= len(latin)),
+    counts as (select z[1] as native, z[2] as latin, count(*)::double as w from sides group by 1, 2)
+    select native, latin, w, round(share, 6) as share from (select *, w / sum(w) over (partition by native) as share, row_number() over (partition by native order by w desc, latin) as k from counts)
+    where k = 1 and w >= 2 and share >= 0.02""".replace(", words", "with words", 1),
+)
+def learnt_spellings(spark, d):
+    words = table(spark, d, "part").select(F.split("p_name", " ").alias("native"), F.split(F.lower(F.concat_ws(" ", "p_brand", "p_type")), " ").alias("latin"))
+    return dictionary.spellings(dictionary.aligned(words), 2, 0.02).withColumn("share", F.round("share", 6))
+
+
+# -- Decision and quality ----------------------------------------------------------------------------------------------
+
+_BEST = "select a_id, b_id, p, row_number() over (partition by b_id order by p desc, a_id) as k from {0}"
+
+
+@query("select a_id, b_id, p from pairs where p >= 0.5", "pairs")
+def decide_threshold(spark, d):
+    return decide.decided(view(spark, d, "pairs"), 0.5, one_to_one=False).select("a_id", "b_id", "p")
+
+
+@query(f"select a_id, b_id, p from ({_BEST.format('pairs')}) where k = 1 and p >= 0.5", "pairs")
+def one_to_one(spark, d):
+    return decide.decided(view(spark, d, "pairs"), 0.5).select("a_id", "b_id", "p")
+
+
+@query(f"select a_id, b_id, p from (select *, row_number() over (partition by b_id order by p desc, a_id) as k from ({_GROUPED}) where p >= case g when 0 then 0.9 when 2 then 0.4 when 6 then 0.7 else 0.5 end) where k = 1", "pairs")
+def group_thresholds(spark, d):
+    return decide.decided(_grouped(spark, d), 0.5, groups={0: 0.9, 2: 0.4, 6: 0.7}).select("a_id", "b_id", "p")
+
+
+_F05 = "case when t.n = 0 and m.n is null then 1.0 when t.n = 0 or m.n is null or m.tp = 0 then 0.0 else 1.25 * (m.tp / m.n) * (m.tp / t.n) / (0.25 * (m.tp / m.n) + m.tp / t.n) end"
+
+
+def _scores_sql(matches: str) -> str:
+    return f"""select t.a_id, t.n as n_true, coalesce(m.n, 0) as n_pred, coalesce(m.tp, 0) as tp, {_F05} as score
+    from (select e.a_id, count(t.b_id) as n from entities e left join truth t using (a_id) group by e.a_id) t
+    left join (select x.a_id, count(*) as n, count(t.b_id) as tp from ({matches}) x left join truth t on x.a_id = t.a_id and x.b_id = t.b_id group by x.a_id) m on t.a_id = m.a_id"""
+
+
+_MATCHED = f"select a_id, b_id from ({_BEST.format('pairs')}) where k = 1 and p >= 0.5"
+
+
+@query(f"select a_id, n_true, n_pred, tp, round(score, 6) as score from ({_scores_sql(_MATCHED)})", "pairs", "truth", "entities")
+def entity_scores(spark, d):
+    matches = decide.decided(view(spark, d, "pairs"), 0.5).select("a_id", "b_id")
+    return decide.entity_scores(view(spark, d, "truth"), matches, view(spark, d, "entities")).select("a_id", "n_true", "n_pred", "tp", F.round("score", 6).alias("score"))
+
+
+@query(f"select round(avg(score), 6) as macro_f05 from ({_scores_sql(_MATCHED)})", "pairs", "truth", "entities")
+def macro_f05(spark, d):
+    matches = decide.decided(view(spark, d, "pairs"), 0.5).select("a_id", "b_id")
+    return decide.macro_f_half(view(spark, d, "truth"), matches, view(spark, d, "entities")).select(F.round("macro_f05", 6).alias("macro_f05"))
+
+
+@query(f"select round(avg(score), 6) as ceiling from ({_scores_sql('select p.a_id, p.b_id from pairs p join truth t on p.a_id = t.a_id and p.b_id = t.b_id')})", "pairs", "truth", "entities")
+def oracle_ceiling(spark, d):
+    truth = view(spark, d, "truth")
+    perfect = models.labelled(view(spark, d, "pairs").select("a_id", "b_id"), truth).withColumn("p", F.col("y").cast("double"))
+    return decide.macro_f_half(truth, decide.decided(perfect, 0.5, one_to_one=False).select("a_id", "b_id"), view(spark, d, "entities")).select(F.round("macro_f05", 6).alias("ceiling"))
+
+
+_GRID = [0.2, 0.35, 0.5, 0.65, 0.8, 0.95]
+
+
+@query(
+    "\nunion all\n".join(f"select cast({t} as double) as threshold, round(avg(score), 6) as macro_f05 from ({_scores_sql(_MATCHED.replace('0.5', str(t)))})" for t in _GRID),
+    "pairs",
+    "truth",
+    "entities",
+)
+def threshold_sweep(spark, d):
+    found = decide.threshold_sweep(view(spark, d, "pairs"), view(spark, d, "truth"), view(spark, d, "entities"), _GRID)
+    return found.withColumn("macro_f05", F.round("macro_f05", 6))
+
+
+@query(f"select s.country, round(avg(score), 6) as macro_f05 from ({_scores_sql(_MATCHED)}) x join side_a s on s.entity_id = x.a_id group by grouping sets ((s.country), ())", "pairs", "truth", "entities", "side_a")
+def country_scores(spark, d):
+    matches = decide.decided(view(spark, d, "pairs"), 0.5).select("a_id", "b_id")
+    scores = decide.entity_scores(view(spark, d, "truth"), matches, view(spark, d, "entities"))
+    countries = view(spark, d, "side_a").select(F.col("entity_id").alias("a_id"), "country")
+    return scores.join(countries, "a_id").rollup("country").agg(F.round(F.avg("score"), 6).alias("macro_f05"))
+
+
+# -- Validation --------------------------------------------------------------------------------------------------------
+
+_IDS = "select trim(source1_entity_id) as key, list_filter(list_transform(string_split(coalesce(matched_entity_ids, ''), ','), lambda x: trim(x)), lambda x: x <> '') as ids from lists"
+
+
+def _arrays(spark: SparkSession, d: str) -> DataFrame:
+    return validate.id_arrays(view(spark, d, "lists"), "source1_entity_id", "matched_entity_ids")
+
+
+def _customers(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "customer").select(F.concat(F.lit("S1-"), "c_custkey").alias("id"))
+
+
+@query("select l_orderkey, count(*) as n from lineitem group by l_orderkey having count(*) > 1")
+def duplicate_keys(spark, d):
+    return validate.duplicate_keys(table(spark, d, "lineitem"), "l_orderkey")
+
+
+@query("select l_orderkey as key, count(*) as n_ids from lineitem group by l_orderkey having count(*) <> count(distinct l_suppkey)")
+def duplicate_ids(spark, d):
+    lists = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("key")).agg(F.collect_list("l_suppkey").alias("ids"))
+    return validate.duplicate_ids(lists).select("key", F.size("ids").cast("long").alias("n_ids"))
+
+
+@query(f"select key, id from (select key, unnest(ids) as id from ({_IDS})) where id like 'S1-%'", "lists")
+def own_source_ids(spark, d):
+    return validate.own_source(_arrays(spark, d))
+
+
+@query(f"select key, id from (select key, unnest(ids) as id from ({_IDS})) where id not like 'S1-%' and id not like 'S2-%'", "lists")
+def wrong_prefixes(spark, d):
+    return validate.wrong_prefix(_arrays(spark, d), ("S2-",))
+
+
+@query(f"select concat('S1-', c_custkey) as key from customer where concat('S1-', c_custkey) not in (select key from ({_IDS}))", "lists")
+def missing_keys(spark, d):
+    return validate.missing_keys(_arrays(spark, d), _customers(spark, d)).select("key")
+
+
+@query(f"select key from ({_IDS}) where key not in (select concat('S1-', s_suppkey) from supplier)", "lists")
+def unexpected_keys(spark, d):
+    return validate.unexpected_keys(_arrays(spark, d), table(spark, d, "supplier").select(F.concat(F.lit("S1-"), "s_suppkey").alias("id"))).select("key")
+
+
+@query(f"select id, key from (select key, unnest(ids) as id from ({_IDS})) where id not in (select concat('S2-', o_orderkey) from orders)", "lists")
+def unknown_ids(spark, d):
+    return validate.unknown_ids(_arrays(spark, d), table(spark, d, "orders").select(F.concat(F.lit("S2-"), "o_orderkey").alias("id"))).select("id", "key")
+
+
+@query("select t.a_id as key, t.b_id as id from truth t left join pairs p on t.a_id = p.a_id and t.b_id = p.b_id and p.p > 0.8 where p.a_id is null", "truth", "pairs")
+def outside_candidates(spark, d):
+    arrays = lambda x: x.groupBy(F.col("a_id").alias("key")).agg(F.collect_list("b_id").alias("ids"))
+    return validate.outside_candidates(arrays(view(spark, d, "truth")), arrays(view(spark, d, "pairs").filter("p > 0.8")))
+
+
+@query(f"select count(*) as n_keys, count(*) filter (len(ids) > 0) as n_filled, count(*) filter (len(ids) = 0) as n_empty, sum(len(ids))::bigint as n_ids from ({_IDS})", "lists")
+def list_totals(spark, d):
+    return validate.totals(_arrays(spark, d))
+
+
+@query(
+    f"""select 'id of the key''s own source' as "check", 'error' as severity, n, ex as examples from (select count(*) as n, list_sort(list(id))[1:5] as ex from (select unnest(ids) as id from ({_IDS})) where id like 'S1-%') where n > 0
+    union all select 'missing key', 'error', n, ex from (select count(*) as n, list_sort(list(k))[1:5] as ex from (select concat('S1-', c_custkey) as k from customer) where k not in (select key from ({_IDS}))) where n > 0""",
+    "lists",
+)
+def validation_report(spark, d):
+    return validate.validated(view(spark, d, "lists"), "source1_entity_id", "matched_entity_ids", required=_customers(spark, d))
+
+
+# -- Models ------------------------------------------------------------------------------------------------------------
+
+_CHEAP = ["n_tsr", "a_tsr", "house_rel", "n_cmp_eq", "addr_missing"]
+
+
+def _fitted(spark: SparkSession, d: str, rounds: int = 5):
+    rows = models.labelled(view(spark, d, "pairs"), view(spark, d, "truth")).withColumn("fold", models.fold())
+    return rows, models.boosted(_CHEAP, rounds, 3).fit(rows.filter(F.col("fold") == models.TRAIN))
+
+
+@query()
+def gbt_scores(spark, d):
+    rows, model = _fitted(spark, d)
+    return models.scored(rows.drop("p"), model).select("a_id", "b_id", "fold", "y", F.round("p", 6).alias("p"))
+
+
+@query()
+def feature_importance(spark, d):
+    _, model = _fitted(spark, d)
+    return spark.createDataFrame(list(models.importance(model).items()), "feature string, share double")
+
+
+@query()
+def entry_link(spark, d):
+    """Retrieval, comparison and one-to-one decision over suppliers and customers; a fixed score stands for a model."""
+    a, b = view(spark, d, "side_a"), view(spark, d, "side_b")
+    rows = features.pair_features(blocking.candidate_pairs(a, b), a, b)
+    p = (F.col("combo") / 100 + F.col("sim_addr")) / 2
+    return decide.decided(models.with_group(rows.withColumn("p", p)), 0.5).select("a_id", "b_id", F.round("p", 6).alias("p"), "g")
+
+
+@query()
+def linked_lists(spark, d):
+    return decide.match_lists(entry_link(spark, d), view(spark, d, "entities"))
+
+
