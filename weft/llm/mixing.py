@@ -31,18 +31,28 @@ from pyspark.sql import functions as F
 from weft.llm.shared import stored
 
 # Letters whose shares tell languages apart.
-LETTERS = ["a", "c", "d", "e", "g", "h", "i", "l", "n", "o", "q", "r", "t", "u", "w", "x", "z", "b", "é", "è", "ê", "ç", "ä", "ö", "ü", "ß", "ñ", "í", "ó", "á"]
+LETTERS = ["a", "e", "h", "i", "n", "o", "q", "t", "u", "w", "z", "é", "è", "ä", "ü", "ó"]
 
 
 def _counts(text: Column) -> list[Column]:
-    lower = F.lower(F.coalesce(text, F.lit("")))
-    return [F.length(lower) - F.length(F.replace(lower, F.lit(c), F.lit(""))) for c in LETTERS]
+    """How often each letter stands in a text; small letters only, unless the text has hardly any of them.
+
+    Lengths in bytes are known to a string, lengths in characters have to be counted, so bytes are compared."""
+    filled = F.coalesce(text, F.lit(""))
+    size = lambda x: F.octet_length(x)
+    few = (size(filled) - size(F.replace(filled, F.lit("e"), F.lit("")))) * 100 < size(filled)
+    letters = F.when(few, F.lower(filled)).otherwise(filled)
+    return [((size(letters) - size(F.replace(letters, F.lit(c), F.lit("")))) / len(c.encode())).cast("long") for c in LETTERS]
 
 
 def n_tokens(text: Column) -> Column:
-    """Whitespace-separated tokens."""
-    plain = F.trim(F.translate(F.coalesce(text, F.lit("")), "\n\r\t\f\v", "     "))
-    return F.when(plain == "", 0).otherwise(F.size(F.split(plain, " +"))).cast("long")
+    """White-space-separated tokens. Only texts with two spaces in a row need a pattern."""
+    plain = F.coalesce(text, F.lit(""))
+    for c in "\n\r\t\f\v":
+        plain = F.replace(plain, F.lit(c), F.lit(" "))
+    plain = F.trim(plain)
+    single = F.octet_length(plain) - F.octet_length(F.replace(plain, F.lit(" "), F.lit(""))) + 1
+    return F.when(plain == "", 0).when(F.instr(plain, "  ") == 0, single).otherwise(F.size(F.split(plain, " +"))).cast("long")
 
 
 @dataclass
@@ -70,9 +80,10 @@ class Domains:
         return found.withColumn(column, F.array(*(F.col(c) / total for c in logits))).drop(*logits, "_top")
 
     def rate(self, posteriors: str) -> Column:
-        """The rate after all steps."""
-        part = lambda step: reduce(lambda a, b: a + b, (F.get(posteriors, F.lit(k)) * F.lit(x) for k, x in enumerate(step)))
-        return reduce(lambda r, step: F.greatest(r - part(step), F.lit(0.0)), self.steps, F.lit(1.0))
+        """The rate after all steps. The steps are one literal, so the expression has the same size for any number."""
+        steps = F.array(*(F.array(*map(F.lit, step)) for step in self.steps)) if self.steps else F.array().cast("array<array<double>>")
+        part = lambda step: reduce(lambda a, b: a + b, (F.get(posteriors, F.lit(k)) * F.get(step, F.lit(k)) for k in range(len(self.names))))
+        return F.aggregate(steps, F.lit(1.0), lambda r, step: F.greatest(r - part(step), F.lit(0.0)))
 
 
 def fit_domains(docs: DataFrame, labelled: DataFrame, domains: list[str], max_fit_rows: int = 20_000) -> Domains:
@@ -90,7 +101,7 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domains: list[str], max_fi
     return Domains(names, prior, weights)
 
 
-def fit_rates(soft: DataFrame, model: Domains, targets: dict[str, float], tolerance: float = 1e-7, max_steps: int = 40) -> Domains:
+def fit_rates(soft: DataFrame, model: Domains, targets: dict[str, float], tolerance: float = 1e-6, max_steps: int = 40) -> Domains:
     """Append to ``model`` the steps that bring ``soft(n_tokens, p)`` to ``targets``, weights of its domains."""
     k = range(len(model.names))
     expected = lambda rate: soft.agg(*(F.coalesce(F.sum(rate * F.col("n_tokens") * F.get("p", F.lit(i))), F.lit(0.0)).alias(f"e{i}") for i in k)).first()
@@ -115,13 +126,18 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def mixture(docs: DataFrame, labels: DataFrame, targets: dict[str, float], max_fit_rows: int = 20_000) -> tuple[DataFrame, Domains]:
     """``(doc_id, n_tokens, p, rate)`` for each row, and the model whose rates bring language domains to ``targets``."""
     model = fit_domains(docs, _labelled(docs, labels), list(targets), max_fit_rows)
-    soft = stored(model.with_posteriors(docs.select("doc_id", "text"), "p").select("doc_id", n_tokens(F.col("text")).alias("n_tokens"), "p"), "posteriors")
+    soft = stored(model.with_posteriors(docs.select("doc_id", "text"), "p").select("doc_id", n_tokens(F.col("text")).alias("n_tokens"), "p").hint("rebalance"), "posteriors")
     model = fit_rates(soft, model, targets)
     return soft.withColumn("rate", model.rate("p")), model
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float], max_fit_rows: int = 20_000) -> DataFrame:
-    """``docs`` with ``rate`` (a column of that name is replaced); documents of rate 0 go."""
+    """``docs`` with ``rate`` (a column of that name is replaced); documents of rate 0 go.
+
+    They go by an empty array, as a filter on the rate would be pushed below the expressions it is made of, and these
+    computed again for each of its terms."""
     _, model = mixture(docs, labels, targets, max_fit_rows)
     columns = [c for c in docs.columns if c != "rate"]
-    return model.with_posteriors(docs.select(*columns), "_p").withColumn("rate", model.rate("_p")).filter("rate > 0").select(*columns, "rate")
+    found = model.with_posteriors(docs.select(*columns), "_p")
+    rate = F.filter(F.array(model.rate("_p")), lambda r: r > 0)
+    return found.select(*columns, F.explode(rate).alias("rate"))
