@@ -225,7 +225,8 @@ def remove_spans(docs: DataFrame, items: DataFrame, window: int = 10, min_span:
     words more than ``max_coverage`` are hit are removed. Rows without hits, null texts among them, stay as they are.
     Repeated rows stay repeated; ``n_chars``, where there is one, follows the new text."""
     columns = docs.columns
-    found = match_spans(docs, items, window, **options)
+    aside = {c: f"_own_{c}" for c in ("n_words", "spans", "item_ids") if c in columns}
+    found = match_spans(docs.withColumnsRenamed(aside), items, window, **options)
     kept = found.filter(hit_words() <= F.col("n_words") * max_coverage)
     long = F.filter("spans", lambda s: s["last"] - s["first"] >= min_span)
     raw = F.encode("text", "utf-8")
@@ -237,7 +238,7 @@ def remove_spans(docs: DataFrame, items: DataFrame, window: int = 10, min_span:
     out = kept.withColumn("text", F.when(F.size(long) > 0, cut).otherwise(F.col("text")))
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.when(F.size(long) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*columns)
+    return out.select(*(F.col(aside.get(c, c)).alias(c) for c in columns))
 
 
 def contamination_report(docs: DataFrame, items: DataFrame, window: int = 10, **options) -> DataFrame:

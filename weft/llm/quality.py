@@ -167,7 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, held_out: Colum
                 yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), batch.column("y"), batch.column("part")], names=["x", "y", "part"])
 
     rows = map_texts(sample, run, "x binary, y double, part int").toArrow()
-    x = np.frombuffer(b"".join(rows["x"].to_pylist()), "<f4").reshape(rows.num_rows, -1).astype(float)
+    x = np.frombuffer(b"".join(rows["x"].to_pylist()), "<f4").reshape(rows.num_rows, 4 * DIM + 1).astype(float)
     y, part = rows["y"].to_numpy(), rows["part"].to_numpy()
     order = np.lexsort([*x.T, y]) if len(x) else np.empty(0, int)
     drop_stored(docs.sparkSession, sample)

@@ -202,7 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxi
                 yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), batch.column("y"), batch.column("part")], names=["x", "y", "part"])
 
     rows = map_texts(sample.filter("part > 0"), run, "x binary, y double, part int").toArrow()
-    x = np.frombuffer(b"".join(rows["x"].to_pylist()), "<f8").reshape(rows.num_rows, -1)
+    x = np.frombuffer(b"".join(rows["x"].to_pylist()), "<f8").reshape(rows.num_rows, len(FEATURES))
     y, part = rows["y"].to_numpy(), rows["part"].to_numpy()
     order = np.lexsort([*x.T, y]) if len(x) else np.empty(0, int)
     drop_stored(docs.sparkSession, sample)
