@@ -303,6 +303,11 @@ def hash_sample(spark, d):
     return features.hash_sample(table(spark, d, "lineitem"), 0.25, 7, "l_orderkey", "l_linenumber", always=F.col("l_returnflag") == "R")
 
 
+@query()
+def seeded_sample(spark, d):
+    return features.sample_n(table(spark, d, "customer"), 50, 7, "c_custkey")
+
+
 @query("select a_id, case when n = 1 then 0 else 1 end as several from (select a_id, count(*) as n from truth group by a_id) order by n desc, a_id limit 5", "truth")
 def first_examples(spark, d):
     counts = view(spark, d, "truth").groupBy("a_id").agg(F.count("*").alias("n"))
