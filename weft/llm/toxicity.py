@@ -5,7 +5,7 @@ capitals, punctuation and repeated characters, and how much of the lexicon appea
 are undone. All are computed over whole texts in numpy, a slice of an Arrow batch at a time.
 
 The trees and the calibration are fitted on at most ``max_fit_rows`` labelled rows (documented bound, 20,000; chosen
-by hash of the id, and by it dealt out to the lexicon, the trees and the calibration). Every document is scored.
+by hash of the id, and by it dealt out to the lexicon and to the trees with their calibration). Every document is scored.
 
 Defined results: null and empty texts have all features 0 and get the score of that point; rows keep their
 multiplicity; labels of unknown documents and null labels are ignored; without usable labels of both classes each
@@ -164,15 +164,17 @@ def learn_lexicon(sample: DataFrame, least: int = 4, most: int = 20_000) -> Lexi
 class Model:
     """Lexicon, trees and calibration."""
 
-    def __init__(self, lexicon: Lexicon, x: np.ndarray, y: np.ndarray, calibrate: np.ndarray):
+    def __init__(self, lexicon: Lexicon, x: np.ndarray, y: np.ndarray, folds: int = 5):
         self.lexicon = lexicon
         self.constant = None
-        if len(set(y[~calibrate].tolist())) < 2:
+        if len(set(y.tolist())) < 2:
             self.constant = float(y.mean()) if len(y) else 0.5
             return
-        self.trees = BoostedTrees().fit(x[~calibrate], y[~calibrate])
-        part = calibrate if len(set(y[calibrate].tolist())) == 2 else np.ones(len(y), bool)
-        self.calibration = Isotonic().fit(self.trees.raw(x[part]), y[part])
+        unseen, fold = np.zeros(len(y)), np.arange(len(y)) % folds
+        for k in range(folds):
+            unseen[fold == k] = BoostedTrees().fit(x[fold != k], y[fold != k]).raw(x[fold == k])
+        self.trees = BoostedTrees().fit(x, y)
+        self.calibration = Isotonic().fit(unseen, y)
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if self.constant is not None:
@@ -190,9 +192,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Co
 
 
 def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxic", max_fit_rows: int = 20_000) -> Model:
-    """Part 0 to 3 of the sample teach the lexicon, 4 to 7 the trees, 8 and 9 the calibration, so none sees its own."""
+    """Parts 0 to 3 of the sample teach the lexicon, so it hasn't seen the rows of the trees. Those are calibrated on what
+    each fifth of their rows gets from trees of the others."""
     sample = labelled_sample(docs, labels, label, held_out, max_fit_rows)
-    sample = stored(sample.withColumn("part", F.when(F.col("part") < 4, 0).when(F.col("part") < 8, 1).otherwise(2)), "toxicity-sample")
+    sample = stored(sample.withColumn("part", (F.col("part") >= 4).cast("int")), "toxicity-sample")
     lexicon = learn_lexicon(sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,10 +206,10 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxi
 
     rows = map_texts(sample.filter("part > 0"), run, "x binary, y double, part int").toArrow()
     x = np.frombuffer(b"".join(rows["x"].to_pylist()), "<f8").reshape(rows.num_rows, len(FEATURES))
-    y, part = rows["y"].to_numpy(), rows["part"].to_numpy()
+    y = rows["y"].to_numpy()
     order = np.lexsort([*x.T, y]) if len(x) else np.empty(0, int)
     drop_stored(docs.sparkSession, sample)
-    return Model(lexicon, x[order], y[order], part[order] == 2)
+    return Model(lexicon, x[order], y[order])
 
 
 def learnt_split() -> Column:
