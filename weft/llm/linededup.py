@@ -244,7 +244,7 @@ def near_copies(docs: DataFrame, firsts: DataFrame, distance: int, near_bytes: i
 def removed_lines(docs: DataFrame, distance: int = 2, min_bytes: int = 20, near_bytes: int = 48) -> DataFrame:
     """``(doc, tie, lines)``: the ascending numbers of each document's removed lines; documents without any are left
     out. ``docs`` has the identity columns of :func:`weft.llm.repeats.identified`."""
-    seen = occurrences(docs, min_bytes)
+    seen = stored(occurrences(docs, min_bytes), "lines")
     firsts = stored(seen.groupBy("h1", "h2").agg(F.min(F.struct("doc", "tie", "line")).alias("f")).select("h1", "h2", "f.doc", "f.tie", "f.line"), "first-lines")
     near = near_copies(docs, firsts, distance, near_bytes).withColumn("near", F.lit(True))
     known = firsts.join(near, ["h1", "h2"], "left").select("h1", "h2", F.struct("doc", "tie", "line").alias("first"), "near")
