@@ -75,6 +75,15 @@ def test_mixture_meets_targets(spark):
     assert all(r.rate == pytest.approx(out[r.doc_id]) for r in kept.collect() if r.doc_id in out)
 
 
+def test_letters_are_counted_in_both_cases(spark):
+    full = "acdeghilnoqrtuwxzbéèêçäöüßñíóá"
+    texts = [full, full.upper().replace("SS", "ß"), "ÇA EST LÀ, Élan: Größe, NIÑO e e", "cdglrxb " * 9, "CDGLRXB " * 9 + "e" * 9, "", None]
+    assert sorted(mixing.LETTERS) == sorted(full)
+    rows = spark.createDataFrame(list(enumerate(texts)), SCHEMA).select("doc_id", *(c.alias(f"c{k}") for k, c in enumerate(mixing._counts(F.col("text"))))).collect()
+    for r in rows:
+        assert list(r)[1:] == [(texts[r.doc_id] or "").lower().count(c) for c in mixing.LETTERS]
+
+
 def test_mixture_without_labels_or_rows(spark):
     docs = spark.createDataFrame(languages(), SCHEMA + ", lang string")
     none = spark.createDataFrame([], "doc_id long, quality int")

@@ -31,18 +31,16 @@ from pyspark.sql import functions as F
 from weft.llm.shared import stored
 
 # Letters whose shares tell languages apart.
-LETTERS = ["a", "e", "h", "i", "n", "o", "q", "t", "u", "w", "z", "é", "è", "ä", "ü", "ó"]
+LETTERS = ["a", "c", "d", "e", "g", "h", "i", "l", "n", "o", "q", "r", "t", "u", "w", "x", "z", "b", "é", "è", "ê", "ç", "ä", "ö", "ü", "ß", "ñ", "í", "ó", "á"]
 
 
 def _counts(text: Column) -> list[Column]:
-    """How often each letter stands in a text; small letters only, unless the text has hardly any of them.
+    """How often each letter stands in a text, small or capital.
 
     Lengths in bytes are known to a string, lengths in characters have to be counted, so bytes are compared."""
-    filled = F.coalesce(text, F.lit(""))
+    lower = F.lower(F.coalesce(text, F.lit("")))
     size = lambda x: F.octet_length(x)
-    few = (size(filled) - size(F.replace(filled, F.lit("e"), F.lit("")))) * 100 < size(filled)
-    letters = F.when(few, F.lower(filled)).otherwise(filled)
-    return [((size(letters) - size(F.replace(letters, F.lit(c), F.lit("")))) / len(c.encode())).cast("long") for c in LETTERS]
+    return [((size(lower) - size(F.replace(lower, F.lit(c), F.lit("")))) / len(c.encode())).cast("long") for c in LETTERS]
 
 
 def n_tokens(text: Column) -> Column:
@@ -101,7 +99,7 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domains: list[str], max_fi
     return Domains(names, prior, weights)
 
 
-def fit_rates(soft: DataFrame, model: Domains, targets: dict[str, float], tolerance: float = 1e-6, max_steps: int = 40) -> Domains:
+def fit_rates(soft: DataFrame, model: Domains, targets: dict[str, float], tolerance: float = 1e-7, max_steps: int = 40) -> Domains:
     """Append to ``model`` the steps that bring ``soft(n_tokens, p)`` to ``targets``, weights of its domains."""
     k = range(len(model.names))
     expected = lambda rate: soft.agg(*(F.coalesce(F.sum(rate * F.col("n_tokens") * F.get("p", F.lit(i))), F.lit(0.0)).alias(f"e{i}") for i in k)).first()
