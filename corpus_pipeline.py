@@ -16,7 +16,7 @@ def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that stand earlier, or nearly so, are cut out."""
-    return linededup.without_repeated_lines(docs)
+    return linededup.without_repeated_lines(docs, **linededup.WHOLE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

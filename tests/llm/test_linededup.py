@@ -93,3 +93,15 @@ def test_texts_without_removed_lines(spark):
     left = {i for i, gone in expected.items() if i is not None and (not gone or "".join(x for k, x in enumerate(texts[i].split("\n")) if k not in gone).strip())}
     assert {r.doc_id for r in got if r.doc_id is not None} == left
     assert linededup.without_repeated_lines(docs.limit(0)).collect() == []
+
+
+def test_query_and_stage_remove_copies_of_short_lines(spark, tmp_path):
+    import corpus_pipeline
+    from weft.llm import queries
+
+    texts = [(1, "Les.\n\nLes.\nOnce\n" + BASE), (2, " Les. \nx\n\nWh the."), (3, "x\nWh the.\nNt onor. The of it."), (4, "Nt onor. The of it.\n" + BASE)]
+    spark.createDataFrame(texts, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.removed_lines for r in queries.op2_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: "2", 2: "0", 3: "0,1", 4: "0,1"}
+    left = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, spark.createDataFrame(texts, SCHEMA), "").collect()}
+    assert left == {1: "Les.\n\nOnce\n" + BASE, 2: "x\n\nWh the.", 3: "Nt onor. The of it."}

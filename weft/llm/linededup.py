@@ -2,7 +2,8 @@
 
 A line (stripped of white space at its ends, compared as UTF-8 bytes) of ``min_bytes`` or more is removed if an equal
 line stands earlier, in a document of smaller id or further up in the same one, or if it and some earlier line of
-``near_bytes`` or more are within ``distance`` edits. Shorter lines stay.
+``near_bytes`` or more are within ``distance`` edits. Shorter lines stay; the query and the pipeline stage take the
+options of ``WHOLE``, by which exact copies of every non-empty line go.
 
 Near copies: of two lines within t edits, cut into t + 1 even segments, the longer holds some segment of the shorter at
 nearly the same place (Li, Deng, Wang and Feng 2011). So each distinct line is indexed under its own segments, and
@@ -31,6 +32,8 @@ from weft.llm.repeats import identified
 from weft.llm.shared import map_texts, maybe_in, stored
 
 BLOCK = 256
+#: Options of the query and of the pipeline stage.
+WHOLE = {"min_bytes": 1}
 
 
 def lines_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

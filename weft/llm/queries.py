@@ -19,7 +19,7 @@ def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.line_report(table(spark, sf_dir, "documents"))
+    return linededup.line_report(table(spark, sf_dir, "documents"), **linededup.WHOLE)
 
 
 #: Weights of the domains in tokens.
