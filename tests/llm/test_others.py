@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import DATA
 from tests.llm.helpers import SCHEMA, corpus, words
 from weft.llm import chat, licenses, mixing, topk
 
@@ -40,6 +41,15 @@ def test_license_scan(spark):
     assert licenses.scan(docs.limit(0), templates).collect() == [] and licenses.scan(docs, {}).collect() == []
 
 
+def test_license_scan_reports_reserved_rights(spark):
+    rows = [(1, "Text.\nAll rights reserved."), (2, "ALL RIGHTS RESERVED"), (3, "All rights are reserved."), (4, licenses.TEMPLATES["reserved"])]
+    got = {(r.doc_id, r.template) for r in licenses.scan(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {(1, "reserved-line"), (2, "reserved-line"), (4, "reserved-line"), (4, "reserved")}
+    docs = spark.read.parquet(str(DATA / "sf0.01" / "documents.parquet"))
+    expected = {r.doc_id for r in docs.filter("text rlike '(?i)\\\\ball[^a-z0-9]+rights[^a-z0-9]+reserved\\\\b'").collect()}
+    assert expected and {r.doc_id for r in licenses.scan(docs).filter("template = 'reserved-line'").collect()} == expected
+
+
 TARGETS = {"en": 0.5, "de": 0.3, "xx": 0.2}
 
 
