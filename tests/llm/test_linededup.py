@@ -105,3 +105,43 @@ def test_query_and_stage_remove_copies_of_short_lines(spark, tmp_path):
     assert got == {1: "2", 2: "0", 3: "0,1", 4: "0,1"}
     left = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, spark.createDataFrame(texts, SCHEMA), "").collect()}
     assert left == {1: "Les.\n\nOnce\n" + BASE, 2: "x\n\nWh the.", 3: "Nt onor. The of it."}
+
+
+def near_by_classes(x, y):
+    """Brute force over whole lines: the thresholds are those of the shorter line."""
+    least = min(len(x), len(y))
+    most = 2 if least >= 20 else 1 if least >= 10 else 0
+    if most and abs(len(x) - len(y)) <= most and edits(x, y) <= most:
+        return True
+    a, b = x.split(), y.split()
+    least = min(len(a), len(b))
+    most = 4 if least >= 64 else 2 if least >= 32 else 1 if least >= 8 else 0
+    return bool(most) and abs(len(a) - len(b)) <= most and edits(a, b) <= most
+
+
+def test_near_copies_by_growing_thresholds(spark):
+    rng = np.random.default_rng(5)
+    vocabulary = ["".join(chr(c) for c in rng.integers(97, 123, rng.integers(3, 11))) for _ in range(500)]
+    lines = []
+    for n in (1, 2, 3, 5, 7, 8, 12, 31, 32, 33, 62, 63, 64, 65, 66, 90, 150):
+        for _ in range(3):
+            base = list(rng.choice(vocabulary, n))
+            lines.append(" ".join(base))
+            for changes in (1, 2, 4, 5):
+                new = list(base)
+                for _ in range(changes):
+                    k = int(rng.integers(len(new) + 1))
+                    new[k : k + int(rng.integers(2))] = [str(rng.choice(vocabulary))] * int(rng.integers(2))
+                lines.append(" ".join(new))
+            text = " ".join(base)
+            for changes in (1, 2, 3):
+                for _ in range(changes):
+                    k = int(rng.integers(1, len(text) - 1)) if len(text) > 2 else 0
+                    text = text[:k] + ["", " ", "z"][int(rng.integers(3))] + text[k + 1 :]
+                lines.append(text)
+    lines = [x for x in dict.fromkeys(x.strip() for x in lines) if x]
+    lines = [lines[k] for k in rng.permutation(len(lines))]
+    expected = {k for k, x in enumerate(lines) if any(near_by_classes(y.encode(), x.encode()) for y in lines[:k])}
+    docs = spark.createDataFrame(list(enumerate(lines)), SCHEMA)
+    assert {r.doc_id for r in linededup.line_report(docs, **linededup.WHOLE).collect() if r.n_removed} == expected
+    assert len(expected) > 100

@@ -3,7 +3,9 @@
 A line (stripped of white space at its ends, compared as UTF-8 bytes) of ``min_bytes`` or more is removed if an equal
 line stands earlier, in a document of smaller id or further up in the same one, or if it and some earlier line of
 ``near_bytes`` or more are within ``distance`` edits. Shorter lines stay; the query and the pipeline stage take the
-options of ``WHOLE``, by which exact copies of every non-empty line go.
+options of ``WHOLE``, by which exact copies of every non-empty line go, and near copies by ``GROWING`` thresholds: of the
+shorter line, 1 byte edit from 10 bytes, 2 from 20; also 1 word edit (a word replaced, put in or left out) from 8 words,
+2 from 32 and 4 from 64, where they include the byte edits. Thresholds stop at 4 words, as keys grow with their cube.
 
 Near copies: of two lines within t edits, cut into t + 1 even segments, the longer holds some segment of the shorter at
 nearly the same place (Li, Deng, Wang and Feng 2011). So each distinct line is indexed under its own segments, and
@@ -20,6 +22,7 @@ after all others; rows that repeat id and text are one document; texts that shar
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +35,22 @@ from weft.llm.repeats import identified
 from weft.llm.shared import map_texts, maybe_in, stored
 
 BLOCK = 256
+
+class Near(NamedTuple):
+    """Lines whose shorter one has ``least`` to ``below - 1`` bytes or words are near within ``distance`` of these."""
+
+    words: bool
+    distance: int
+    least: int
+    below: int = 1 << 40
+
+
+#: Two byte edits touch four words at most, so longer lines than these need no byte edits beside the last class.
+GROWING = [Near(False, 1, 10, 20), Near(False, 2, 20), Near(True, 1, 8, 32), Near(True, 2, 32, 64), Near(True, 4, 64)]
+#: Words from which a line is left to the last class: those of its shorter line and of two split ones.
+LONG_WORDS = 64 + 2
 #: Options of the query and of the pipeline stage.
-WHOLE = {"min_bytes": 1}
+WHOLE = {"min_bytes": 1, "classes": GROWING}
 
 
 def lines_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -75,6 +92,28 @@ def segment_keys(ranges: tb.RangeHash, first: np.ndarray, last: np.ndarray, dist
                 yield tb.mix(ranges(a, a + width[at], 1) ^ own, 3), at, not shorter and not shift
 
 
+def line_words(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words of ascending lines, runs of bytes that aren't white space, and each line's bounds in them."""
+    start, end = tb.spans(data > 32, np.concatenate([first, last]))
+    return tb.RangeHash(data)(start, end, 5), np.searchsorted(start, first), np.searchsorted(start, last)
+
+
+def class_keys(data: np.ndarray, first: np.ndarray, last: np.ndarray, classes: list[Near]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Keys, whose low bits are the number of the class, line numbers, and whether each indexes. Lines ascend."""
+    words, a, b = line_words(data, first, last)
+    in_bytes, in_words = tb.RangeHash(data), tb.RangeHash(words)
+    n, split = b - a, any(c.words and c.below > 1 << 32 for c in classes)
+    for number, c in enumerate(classes):
+        size = n if c.words else last - first
+        fits = (size >= c.least) & (size < c.below + c.distance)
+        if split and not c.words:
+            fits &= n < LONG_WORDS
+        at = np.flatnonzero(fits)
+        low, high = (a[at], b[at]) if c.words else (first[at], last[at])
+        for key, which, index in segment_keys(in_words if c.words else in_bytes, low, high, c.distance, c.least):
+            yield (tb.mix(key, 20 + number) & ~tb.U64(15)) | tb.U64(number), at[which], (size[at[which]] < c.below) & index
+
+
 def _hashed(ranges: tb.RangeHash, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ranges(first, last, 0).view(np.int64), ranges(first, last, 9).view(np.int64)
 
@@ -95,21 +134,21 @@ def occurrences(docs: DataFrame, min_bytes: int) -> DataFrame:
     return map_texts(docs.select("doc", "tie", "text"), run, ", ".join(f"{x} long" for x in names))
 
 
-def _key_rows(docs: DataFrame, distance: int, near_bytes: int) -> DataFrame:
+def _key_rows(docs: DataFrame, classes: list[Near]) -> DataFrame:
     """``(key, line)``, the lowest bit of the line's hash telling whether the key indexes it. Repeats within a slice of
     a task go before the shuffle."""
+    least = min(c.least for c in classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for _, data, offsets in tb.slices(whole, most=1 << 20):
                 _, _, first, last = lines_of(data, offsets)
-                at = np.flatnonzero(last - first >= near_bytes)
-                ranges = tb.RangeHash(data)
-                h = ranges(first[at], last[at], 0)
-                h, once = np.unique(h, return_index=True)
-                first_, last_ = first[at[once]], last[at[once]]
-                for key, which, index in segment_keys(ranges, first_, last_, distance, near_bytes):
-                    line = (h[which] & ~tb.U64(1)) | tb.U64(index)
+                at = np.flatnonzero(last - first >= least)
+                h = tb.RangeHash(data)(first[at], last[at], 0)
+                once = np.sort(np.unique(h, return_index=True)[1])
+                h, at = h[once], at[once]
+                for key, which, index in class_keys(data, first[at], last[at], classes):
+                    line = (h[which] & ~tb.U64(1)) | index.astype(tb.U64)
                     yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(line.view(np.int64))], names=["key", "line"])
 
     return map_texts(docs.select("text"), run, "key long, line long")
@@ -152,8 +191,8 @@ def within_distance(texts: list[np.ndarray], a: np.ndarray, b: np.ndarray, dista
     for chunk in (order[k : k + lanes] for k in range(0, len(order), lanes)):
         m, n = size[a[chunk]], size[b[chunk]]
         width = int(max(m.max(), n.max()))
-        rows = np.full((width + 2 * distance + 1, len(chunk)), -1, np.int16)
-        cols = np.full((width, len(chunk)), -2, np.int16)
+        rows = np.full((width + 2 * distance + 1, len(chunk)), -1, np.int32)
+        cols = np.full((width, len(chunk)), -2, np.int32)
         for k, pair in enumerate(chunk):
             rows[distance : distance + m[k], k] = texts[a[pair]]
             cols[: n[k], k] = texts[b[pair]]
@@ -177,15 +216,22 @@ def within_distance(texts: list[np.ndarray], a: np.ndarray, b: np.ndarray, dista
     return out
 
 
-def _later_copies(rows: DataFrame, distance: int) -> DataFrame:
-    """``(h1, h2)`` of lines that are within ``distance`` of an earlier line of their task."""
+def _later_copies(rows: DataFrame, classes: list[Near]) -> DataFrame:
+    """``(h1, h2)`` of lines that are near an earlier line of their task by its class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups("task", batches):
             place = np.column_stack([t[c].to_numpy() for c in ("doc", "tie", "line", "side")])
             order = np.lexsort((place[:, 2], place[:, 1], place[:, 0]))
             side = place[order, 3]
+            near_by = classes[t["class"][0].as_py()]
+            distance = near_by.distance
             texts = [np.frombuffer(t["bytes"][int(k)].as_py(), np.uint8) for k in order]
+            if near_by.words:
+                ends = np.cumsum([0] + [len(x) + 1 for x in texts])
+                words, a, b = line_words(np.concatenate([y for x in texts for y in (x, np.array([32], np.uint8))]), ends[:-1], ends[1:])
+                ids = np.unique(words, return_inverse=True)[1]
+                texts = [ids[i:j] for i, j in zip(a, b, strict=True)]
             size = np.array([len(x) for x in texts])
             counts = np.zeros((len(texts), 64), np.int32)
             for k, x in enumerate(texts):
@@ -227,9 +273,9 @@ def _line_bytes(docs: DataFrame, members: DataFrame) -> DataFrame:
     return map_texts(found.select("doc", "tie", "text", "wanted"), run, "h1 long, h2 long, doc long, tie long, line long, bytes binary")
 
 
-def near_copies(docs: DataFrame, firsts: DataFrame, distance: int, near_bytes: int) -> DataFrame:
+def near_copies(docs: DataFrame, firsts: DataFrame, classes: list[Near]) -> DataFrame:
     """``(h1, h2)`` of distinct lines that are near copies of an earlier one. ``firsts``: (h1, h2, doc, tie, line)."""
-    keys = stored(_shared_keys(_key_rows(docs, distance, near_bytes)).hint("rebalance"), "line-keys")
+    keys = stored(_shared_keys(_key_rows(docs, classes)).hint("rebalance"), "line-keys")
     low = F.col("h1").bitwiseAND(F.lit(-2))
     wanted = keys.select(F.col("line").bitwiseAND(F.lit(-2)).alias("low")).distinct()
     members = stored(firsts.withColumn("low", low).join(wanted, "low").select("h1", "h2", "doc", "tie", "line").hint("rebalance"), "line-members")
@@ -240,16 +286,17 @@ def near_copies(docs: DataFrame, firsts: DataFrame, distance: int, near_bytes: i
     block = F.pmod(F.xxhash64("h1", "h2"), F.col("blocks")).cast("int")
     rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     task = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
-    rows = rows.select(task.alias("task"), "h1", "h2", "doc", "tie", "line", F.col("block").__gt__(F.col("other")).cast("long").alias("side"), "bytes")
-    return _later_copies(rows.repartition("task").sortWithinPartitions("task"), distance).distinct()
+    rows = rows.select(task.alias("task"), F.col("key").bitwiseAND(F.lit(15)).alias("class"), "h1", "h2", "doc", "tie", "line", F.col("block").__gt__(F.col("other")).cast("long").alias("side"), "bytes")
+    return _later_copies(rows.repartition("task").sortWithinPartitions("task"), classes).distinct()
 
 
-def removed_lines(docs: DataFrame, distance: int = 2, min_bytes: int = 20, near_bytes: int = 48) -> DataFrame:
+def removed_lines(docs: DataFrame, distance: int = 2, min_bytes: int = 20, near_bytes: int = 48, classes: list[Near] | None = None) -> DataFrame:
     """``(doc, tie, lines)``: the ascending numbers of each document's removed lines; documents without any are left
-    out. ``docs`` has the identity columns of :func:`weft.llm.repeats.identified`."""
+    out. ``docs`` has the identity columns of :func:`weft.llm.repeats.identified`. ``classes`` replace ``distance`` and
+    ``near_bytes``."""
     seen = stored(occurrences(docs, min_bytes), "lines")
     firsts = stored(seen.groupBy("h1", "h2").agg(F.min(F.struct("doc", "tie", "line")).alias("f")).select("h1", "h2", "f.doc", "f.tie", "f.line"), "first-lines")
-    near = near_copies(docs, firsts, distance, near_bytes).withColumn("near", F.lit(True))
+    near = near_copies(docs, firsts, classes or [Near(False, distance, near_bytes)]).withColumn("near", F.lit(True))
     known = firsts.join(near, ["h1", "h2"], "left").select("h1", "h2", F.struct("doc", "tie", "line").alias("first"), "near")
     gone = seen.join(known, ["h1", "h2"]).filter(F.col("near").isNotNull() | (F.struct("doc", "tie", "line") != F.col("first")))
     return gone.groupBy("doc", "tie").agg(F.sort_array(F.collect_set(F.col("line").cast("int"))).alias("lines"))
