@@ -74,3 +74,40 @@ def test_components_of_a_chain(spark):
     edges = [(k, k + 1) for k in range(100, 160)] + [(1, 2), (2, 3), (7, 7), (None, 4)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: 100 for k in range(100, 161)} | {1: 1, 2: 1, 3: 1, 7: 7}
+
+
+def test_components_of_random_graphs(spark):
+    rng = np.random.default_rng(4)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 400, (330, 2))] + [(1000, k) for k in range(1001, 1100)]
+    label = {x: x for e in edges for x in e}
+    for _ in label:
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    assert {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()} == label
+
+
+def test_texts_that_share_an_id(spark):
+    texts = [" ".join(f"{c}{k}" for k in range(40)) for c in "pqrs"]
+    near = [t + " end" for t in texts]
+    rows = [(1, t) for t in texts] + [(2 + k, t) for k, t in enumerate(near)] + [(1, "other words by themselves only"), (9, "b a"), (9, "B, a!")]
+    got = pathjoin.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.doc_id, r.class_id, r.n_links) for r in got) == brute(rows)
+    kept = sorted(map(tuple, pathjoin.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()))
+    assert kept[:5] == sorted([(1, t) for t in texts] + [(1, "other words by themselves only")])
+    assert len(kept) == 6 and kept[5][0] == 9
+
+
+def test_string_ids_and_clashing_columns(spark):
+    rows = [(f"d{i}", t) for i, t in corpus(3) if i is not None]
+    docs = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id string, text string, version long, _version long")
+    got = pathjoin.near_duplicates(docs)
+    assert sorted((r.doc_id, r.class_id, r.n_links) for r in got.collect()) == brute(rows)
+    kept = pathjoin.one_of_each(docs)
+    assert kept.columns == docs.columns and {(r.version, r["_version"]) for r in kept.collect()} == {(1, 2)}
+
+
+def test_recall_counts_the_shared_embedding():
+    runs = pathjoin.runs_for(0.9999, 0.8, 6)
+    assert pathjoin.expected_recall(runs, 0.8, 6) >= 0.9999 > pathjoin.expected_recall(runs - 1, 0.8, 6)
+    with pytest.raises(ValueError):
+        pathjoin.runs_for(0.9999999, 0.8, 6)

@@ -11,10 +11,13 @@
 4. Each group is compared by exact intersections of whole sets. Groups of more than ``BLOCK`` sets are compared by pairs
    of blocks, so no task ever holds a group. Counts and forests of links leave a task, never the pairs.
 
-The number of runs follows from ``recall``, the chance that a pair at the threshold meets.
+The number of runs follows from ``recall``, the chance that a pair at the threshold meets and is linked, over all numbers of
+places in which its embeddings may agree.
 
 Defined results: texts without words, null ones among them, are in no set: a class of their own, no links. Rows with a
-null id get no class and no links, and give none. Repeated rows are copies of each other. Other columns are not read.
+null id get no class and no links, and give none. Repeated rows are copies of each other; texts that bear one id are rows
+of their own, so two classes may be named by the same id. Ids may be of any type with an order. Other columns are not
+read.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ from weft.llm import textbytes as tb
 from weft.llm.shared import components, map_texts, stored
 
 WIDTH, BLOCK = 64, 256
+#: Sets of a bucket are linked if the share of places in which their embeddings agree is this part of the threshold.
+AGREE = 0.7
 _FACTORS = tb.mix(np.arange(WIDTH, dtype=tb.U64), 41) | tb.U64(1)
 
 
@@ -40,7 +45,8 @@ def _long(x: np.ndarray) -> pa.Array:
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """``(doc_id, node, n, sketch)`` for each row: hash and size of its set, and its embedding. Without words n is 0."""
+    """``(doc_id, version, node, n, sketch)`` for each row of ``docs(doc_id, version, text)``: hash and size of its set,
+    and its embedding. Without words n is 0."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,9 +62,9 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
                     node[full] = tb.mix(np.add.reduceat(tb.mix(h, 51), at) ^ np.add.reduceat(tb.mix(h, 52), at) * tb.U64(3), 53)
                     for k in range(WIDTH):
                         least[full, k] = np.minimum.reduceat(h * _FACTORS[k], at) >> tb.U64(32)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _long(node), pa.array(n), pa.array([r.tobytes() for r in least], pa.binary())], names=["doc_id", "node", "n", "sketch"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("version"), _long(node), pa.array(n), pa.array([r.tobytes() for r in least], pa.binary())], names=["doc_id", "version", "node", "n", "sketch"])
 
-    return map_texts(docs.select("doc_id", "text"), run, f"doc_id {id_type}, node long, n long, sketch binary")
+    return map_texts(docs, run, f"doc_id {id_type}, version long, node long, n long, sketch binary")
 
 
 def _descend(path: np.ndarray, row: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -81,8 +87,19 @@ def _survival(similarity: float, depth: int) -> float:
     return kept
 
 
-def runs_for(recall: float, similarity: float, depth: int) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - _survival(similarity, depth)))
+def expected_recall(runs: int, similarity: float, depth: int) -> float:
+    """Chance that a pair meets and agrees in enough places of the embedding to be linked. All runs descend on the same
+    embedding, so they are independent only once the number of places that agree is given."""
+    share = lambda k: math.comb(WIDTH, k) * similarity**k * (1 - similarity) ** (WIDTH - k)
+    return sum(share(k) * (1 - (1 - _survival(k / WIDTH, depth)) ** runs) for k in range(math.ceil(AGREE * similarity * WIDTH), WIDTH + 1))
+
+
+def runs_for(recall: float, similarity: float, depth: int, most: int = 1000) -> int:
+    """The least number of runs that reach ``recall`` for a pair of this similarity."""
+    found = next((k for k in range(1, most) if expected_recall(k, similarity, depth) >= recall), None)
+    if not found:
+        raise ValueError(f"an embedding of {WIDTH} places can't reach a recall of {recall}")
+    return found
 
 
 def _leaves(nodes: DataFrame, depth: int, runs: int) -> DataFrame:
@@ -164,13 +181,16 @@ def _bucket_edges(rows: DataFrame, least: float) -> DataFrame:
 
 
 def candidate_edges(nodes: DataFrame, similarity: float, recall: float, depth: int, limit: int, max_depth: int) -> DataFrame:
-    """Edges ``(a, b)`` between nodes whose components hold every pair that met in a bucket."""
+    """Edges ``(a, b)`` between nodes whose components hold every pair that met in a bucket.
+
+    A node has at most one edge from each bucket that it is in. It keeps that from the least of the first nodes of these
+    buckets, and the others are linked to this one directly, so a group has about as many edges as nodes."""
     sketch = nodes.select("node", "sketch")
     rows, found = _leaves(nodes, depth, runs_for(recall, similarity, max_depth)), None
     for level in range(depth, max_depth + 1):
-        sizes = rows.groupBy("path").agg(F.count("*").alias("members"), F.min("node").alias("least")).filter("members > 1")
+        sizes = stored(rows.groupBy("path").agg(F.count("*").alias("members"), F.min("node").alias("least")).filter("members > 1"), "bucket-sizes")
         met = stored(rows.join(sizes, "path").hint("rebalance"), "buckets")
-        edges = _bucket_edges(met.filter(F.col("members") <= limit).join(sketch, "node"), similarity * 0.7)
+        edges = _bucket_edges(met.filter(F.col("members") <= limit).join(sketch, "node"), similarity * AGREE)
         large = met.filter(F.col("members") > limit)
         if level == max_depth:
             edges = edges.unionByName(large.select(F.col("least").alias("a"), F.col("node").alias("b")))
@@ -178,11 +198,24 @@ def candidate_edges(nodes: DataFrame, similarity: float, recall: float, depth: i
         if level == max_depth or not large.limit(1).count():
             break
         rows = _children(large.join(sketch, "node"))
-    return stored(found.distinct(), "candidates")
+    firsts = found.groupBy("b").agg(F.collect_set("a").alias("firsts")).withColumn("a", F.array_min("firsts"))
+    edges = firsts.select("a", F.explode(F.array_append("firsts", F.col("b"))).alias("b")).filter("a <> b")
+    return stored(edges.distinct(), "candidates")
+
+
+def _labels(linked: np.ndarray) -> np.ndarray:
+    """The first node of the component of each node of a symmetric 0/1 matrix."""
+    out = np.arange(len(linked))
+    for a, b in _forest(linked):
+        out[b] = a
+    return out
 
 
 def _links(parts: DataFrame, threshold: Fraction) -> DataFrame:
-    """Per task and node: number of documents linked, and forest edges; ``b`` is null in rows that count."""
+    """Per task and node: number of documents linked, and forest edges; ``b`` is null in rows that count.
+
+    A task of two blocks links components of one to components of the other, as their own edges come from the tasks of
+    the blocks alone. Edges so stay near the number of nodes and of pairs of blocks."""
     names = ["a", "b", "links"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,12 +242,19 @@ def _links(parts: DataFrame, threshold: Fraction) -> DataFrame:
             common = common.astype(np.int64)
             linked = common * (threshold.numerator + threshold.denominator) >= threshold.numerator * (n[:, None] + n[None, :])
             np.fill_diagonal(linked, False)
+            shown = np.arange(len(node))
             if second.any():
-                linked &= second[:, None] != second[None, :]
+                across = second[:, None] != second[None, :]
+                shown = _labels(linked & ~across)
+                linked &= across
             links = linked @ copies
             some = np.flatnonzero(links)
             if len(some):
-                edges = np.array(_forest(linked)).T
+                root, of = np.unique(shown, return_inverse=True)
+                between = np.zeros((len(root), len(root)), bool)
+                x, y = np.nonzero(linked)
+                between[of[x], of[y]] = True
+                edges = root[np.array(_forest(between)).T]
                 a, b = node[some], np.concatenate([np.zeros(len(some), np.int64), node[edges[1]]])
                 null = np.concatenate([np.ones(len(some), bool), np.zeros(edges.shape[1], bool)])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, node[edges[0]]])), pa.array(b, mask=null), pa.array(np.concatenate([links[some], np.zeros(edges.shape[1], np.int64)]))], names=names)
@@ -236,42 +276,56 @@ def _token_rows(docs: DataFrame, size: int) -> DataFrame:
     return map_texts(docs, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest) + ", tokens binary")
 
 
+def versioned(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``version``, a hash of the text, which tells apart texts that bear one id."""
+    return docs.withColumn("version", F.xxhash64("text"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, recall: float = 0.9999, depth: int = 3, limit: int = 400, max_depth: int = 6) -> DataFrame:
     """Per row of ``docs``: doc_id, class_id (least id reached over links), n_links (rows whose set is similar enough,
-    copies among them) and node (the hash of its set)."""
-    docs = docs.select("doc_id", "text")
+    copies among them), version, node (the hash of its set) and chosen, whether this text stands for its class."""
+    docs = versioned(docs.select("doc_id", "text"))
     each = stored(sketches(docs, size), "sketches")
     known = each.filter("n > 0 and doc_id is not null")
-    nodes = stored(known.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("copies"), F.first("sketch").alias("sketch")), "nodes")
-    groups = components(candidate_edges(nodes, threshold, recall, depth, limit, max_depth))
-    sized = groups.join(groups.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "component")
-    members = sized.join(nodes.select("node", "least_id", "copies"), "node").select("node", F.col("least_id").alias("doc_id"), "copies", "component", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
-    texts = docs.filter("doc_id is not null").join(members.hint("shuffle_hash"), "doc_id")
-    texts = texts.dropDuplicates(["node"]) if known.groupBy("doc_id").count().filter("count > 1").limit(1).count() else texts
+    nodes = known.groupBy("node").agg(F.min(F.struct("doc_id", "version")).alias("of"), F.count("*").alias("copies"), F.first("sketch").alias("sketch"))
+    nodes = stored(nodes.select("node", F.col("of.doc_id").alias("least_id"), F.col("of.version").alias("version"), "copies", "sketch"), "nodes")
+    groups = stored(components(candidate_edges(nodes, threshold, recall, depth, limit, max_depth)), "groups")
+    large = stored(groups.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).filter("blocks > 1"), "large-groups")
+    sized = groups.join(large, "component", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
+    members = sized.join(nodes.drop("sketch"), "node").select("node", F.col("least_id").alias("doc_id"), "version", "copies", "component", "blocks", block)
+    texts = docs.join(members.hint("shuffle_hash"), ["doc_id", "version"])
+    texts = texts.dropDuplicates(["node"]) if known.groupBy("doc_id", "version").count().filter("count > 1").limit(1).count() else texts
     sets = _token_rows(texts, size)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     tasks = sets.select("node", "copies", "tokens", "component", "block", other).select(
         F.xxhash64("component", F.least("block", "other"), F.greatest("block", "other")).alias("task"), "node", "copies", "tokens", (F.col("block") > F.col("other")).cast("int").alias("side")
     )
     found = stored(_links(tasks.repartition("task").sortWithinPartitions("task"), Fraction(threshold).limit_denominator(1000)), "links")
-    classes = components(found.filter("b is not null").select("a", "b"))
+    classes = stored(components(found.filter("b is not null").select("a", "b")), "classes")
     counts = found.filter("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
-    linked = classes.join(nodes.select("node", "least_id"), "node")
-    least = linked.groupBy("component").agg(F.min("least_id").alias("class_id"))
-    by_node = nodes.select("node", "least_id", "copies").join(classes, "node", "left").join(least, "component", "left").join(counts, "node", "left")
-    by_node = by_node.select("node", F.coalesce("class_id", "least_id").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    joined = known.select("doc_id", "node").join(by_node, "node").select("doc_id", "class_id", "n_links", "node")
-    alone = each.filter("n = 0 or doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("node"))
+    first = F.min(F.struct(F.col("least_id").alias("class_id"), "node")).alias("first")
+    least = stored(classes.join(nodes.select("node", "least_id"), "node").groupBy("component").agg(first).select("component", "first.class_id", F.col("first.node").alias("first")), "class-ids")
+    by_node = nodes.drop("sketch").join(classes.join(least, "component").drop("component"), "node", "left").join(counts, "node", "left")
+    by_node = by_node.select("node", F.coalesce("class_id", "least_id").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.col("version").alias("shown"), F.col("least_id").alias("shown_id"), F.coalesce(F.col("first") == F.col("node"), F.lit(True)).alias("first"))
+    chosen = (F.col("first") & (F.col("doc_id") == F.col("shown_id")) & (F.col("version") == F.col("shown"))).alias("chosen")
+    joined = known.select("doc_id", "version", "node").join(by_node, "node").select("doc_id", "class_id", "n_links", "version", "node", chosen)
+    alone = each.filter("n = 0 or doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), "version", F.lit(None).cast("long").alias("node"), F.lit(True).alias("chosen"))
     return joined.unionByName(alone)
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with the row of least id of each class, once; rows without words or without an id stay."""
-    found = near_duplicates(docs, **options)
-    gone = found.filter("doc_id <> class_id").select("doc_id").distinct()
-    kept = docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti")
-    again = found.filter("doc_id = class_id and node is not null").groupBy("doc_id").count().filter("count > 1")
+    """``docs`` with one row of each class: of its least id and, among that id's texts, of one text; repeats of this row
+    go. Rows without words or without an id stay."""
+    found = stored(near_duplicates(docs, **options).select("doc_id", "version", "node", "chosen"), "chosen")
+    aside = {"_version": "_own_version"} if "_version" in docs.columns else {}
+    named = docs.withColumnsRenamed(aside).withColumn("_version", F.xxhash64("text"))
+    key = [F.col("doc_id"), F.col("version").alias("_version")]
+    gone = found.filter("not chosen").select(*key).distinct()
+    kept = named.join(gone.hint("shuffle_hash"), ["doc_id", "_version"], "left_anti")
+    again = found.filter("chosen and node is not null").groupBy(*key).count().filter("count > 1")
     if again.limit(1).count():
-        twice = again.select("doc_id")
-        kept = kept.join(twice, "doc_id", "left_anti").unionByName(kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return kept.select(*docs.columns)
+        twice = again.drop("count")
+        once = kept.join(twice, ["doc_id", "_version"], "left_semi").dropDuplicates(["doc_id", "_version"])
+        kept = kept.join(twice, ["doc_id", "_version"], "left_anti").unionByName(once)
+    return kept.select(*(F.col(aside.get(c, c)).alias(c) for c in docs.columns))
