@@ -28,7 +28,7 @@ ADDRESSES = [
     ("1st Ave, Washington, DC", "US", "ave washington", "1", "1", "DC"),
     ("<NULL>", "US", "", "", "", ""),
     (None, "US", "", "", "", ""),
-    ("12 Rue de la Paix, Lille", "France", "rue paix", "12", "12", "HDF"),
+    ("12 Rue de la Paix, Pas-de-Calais", "France", "rue paix", "12", "12", "HDF"),
     ("75001, 7 Main Rd", "US", "main rd", "75001 7", "7", ""),
 ]
 
@@ -103,3 +103,21 @@ def test_partial_ratio_is_the_best_window(a, b):
     short, long = sorted((a, b), key=len)
     expected = max(best(short, long), best(long, short)) if len(a) == len(b) else best(short, long)
     assert s.partial_ratio(a, b) == pytest.approx(expected)
+
+
+def test_many_pairs_give_what_one_pair_gives():
+    import random
+
+    import numpy as np
+
+    rng, one, two = random.Random(1), [], []
+    for k in range(900):
+        alphabet = ["ab", "abcde ", "abcdefghijklmnopqrstuvwxyz éß世  "][k % 3]
+        a = "".join(rng.choices(alphabet, k=rng.choice([0, 1, 2, 5, 12, 25, 63, 64, 65, 130])))
+        b = a if k % 20 == 0 else a[: len(a) // 2] + "".join(rng.choices(alphabet, k=rng.randint(0, 40))) + a[len(a) // 2 :] * (k % 2)
+        one.append([a, b][k % 5 == 0])
+        two.append([b, a][k % 5 == 0])
+    places = np.arange(len(one))
+    for scalar, many in s._MANY.items():
+        assert np.allclose(many(one, two, places, places), [scalar(a, b) for a, b in zip(one, two, strict=True)], atol=1e-9), scalar.__name__
+        assert len(many(one, two, places[:0], places[:0])) == 0

@@ -30,6 +30,7 @@ _INDIC = {
 _LATIN = {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "ł": "l", "đ": "d", "ð": "d", "þ": "th", "ı": "i", "’": "'", "‘": "'", "“": '"', "”": '"', "–": "-", "—": "-"}
 _MOJIBAKE = re.compile("(?:Â?|â)\x80[\x90-\x9f]|Â")
 _TLD = re.compile(rf"\.(?:{'|'.join(t.TLDS)})\b")
+_UNIT = re.compile(rf"(?:{'|'.join(map(re.escape, t.UNIT_PREFIXES))})(?![a-z])")
 _DOTTED = re.compile(r"\b(?:[a-z]\.){2,}[a-z]?")
 
 
@@ -73,7 +74,7 @@ class Part:
 
     @property
     def is_unit(self) -> bool:
-        return self.raw.lower().strip().lstrip("#").strip().startswith(tuple(t.UNIT_PREFIXES))
+        return bool(_UNIT.match(self.raw.lower().strip().lstrip("#").strip()))
 
     @property
     def house(self) -> str:
