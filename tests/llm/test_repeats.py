@@ -27,9 +27,21 @@ def test_suffix_array_and_common_prefixes():
             assert shared[b] == k
 
 
-def test_many_symbols_are_ordered_by_doubling():
-    t = np.append(np.tile(np.random.default_rng(1).integers(1, 5000, 60), 5), 0)
-    assert list(suffixes.suffix_array(t)) == sorted(range(len(t)), key=lambda i: tuple(t[i:]))
+def test_reduced_strings_of_many_symbols():
+    rng = np.random.default_rng(1)
+    for width, copies in ((60, 5), (700, 3), (3000, 2)):
+        t = np.append(np.tile(rng.integers(1, 5000, width), copies), 0)
+        assert list(suffixes.suffix_array(t)) == sorted(range(len(t)), key=lambda i: tuple(t[i:]))  # noqa: B023
+
+
+def test_both_scans_give_one_array(monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = [np.append(rng.integers(1, k, 400), 0) for k in (2, 3, 30)] + [np.append(np.repeat(rng.integers(1, 4, 40), rng.integers(1, 60, 40)), 0)]
+    found = []
+    for cost in (0, 1 << 40):
+        monkeypatch.setattr(suffixes, "WAVE_COST", cost)
+        found.append([suffixes.suffix_array(t).tolist() for t in texts])
+    assert found[0] == found[1] == [sorted(range(len(t)), key=lambda i: tuple(t[i:])) for t in texts]  # noqa: B023
 
 
 def brute(rows, length):
@@ -61,6 +73,34 @@ def test_removed_bytes(spark, options):
         assert sum(s["last"] - s["first"] for s in r.spans) == r.n_removed
 
 
+@pytest.mark.parametrize("length", [50, 100, 146, 200, 300])
+def test_lengths(spark, length):
+    rng = random.Random(length)
+    passage = "".join(rng.choices("abc d", k=900))
+    rows = [(k, "".join(rng.choices("abc d", k=rng.randint(0, 200))) + passage[rng.randint(0, 500) :][: rng.randint(0, 800)] + "".join(rng.choices("ab", k=rng.randint(0, 200)))) for k in range(25)]
+    rows += [(50, "x" * 700 + passage), (51, "xy" * 300), (52, "yx" * 200)]
+    expected = brute(rows, length)
+    for r in repeats.without_repeats(spark.createDataFrame(rows, SCHEMA), length).collect():
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == expected[r.doc_id]
+    with pytest.raises(ValueError):
+        repeats.without_repeats(spark.createDataFrame(rows, SCHEMA), 10)
+
+
+def test_string_ids(spark):
+    rows = [(f"{k}", t) for k, t in corpus(2) if k is not None]
+    seen, expected = set(), {}
+    for i, text in sorted(set(rows), key=lambda x: x[0]):
+        raw = (text or "").encode()
+        gone = bytearray(len(raw))
+        for p in range(len(raw) - 59):
+            if raw[p : p + 60] in seen:
+                gone[p : p + 60] = b"\1" * 60
+            seen.add(raw[p : p + 60])
+        expected[i] = sum(gone)
+    got = repeats.without_repeats(spark.createDataFrame(rows, "doc_id string, text string"), 60, gram=16).collect()
+    assert {r.doc_id: r.n_removed for r in got} == expected
+
+
 def test_texts_of_one_id_are_ordered(spark):
     text = "".join(random.Random(3).choices("abcd ", k=300))
     docs = spark.createDataFrame([(1, text), (1, text + "tail"), (1, text)], SCHEMA)

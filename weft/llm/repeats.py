@@ -4,9 +4,10 @@ Every byte that lies in a string of ``length`` bytes which also starts earlier (
 same one at an earlier place) is removed, all but the first occurrence of each string.
 
 1. Each start of such a string is dealt by content: of the ``gram``-byte grams in the string, the one of least hash is
-   its anchor (winnowing; Schleimer, Wilkerson and Aiken 2003). Successive starts with one anchor form a piece. Equal
-   strings have equal anchors at equal places, so they can only lie in pieces of the same anchor. Tasks drop further
-   copies of a piece before the shuffle, so the copies of a hot passage shrink to one row a task.
+   its anchor (winnowing; Schleimer, Wilkerson and Aiken 2003). Successive starts with one anchor form a piece, or
+   several of at most ``_MOST`` starts, cut at fixed distances from the anchor. Equal strings have equal anchors at equal
+   places, so they can only lie in pieces of the same anchor and distance. Tasks drop further copies of a piece before
+   the shuffle, so the copies of a hot passage shrink to one row a task.
 2. Pieces are sorted by anchor and content and streamed: all copies of a piece but the first are removed. Pieces whose
    anchor has no other content are done.
 3. For the others the bytes are fetched and dealt by anchor into shards. An anchor of more than ``hot_bytes`` is split
@@ -16,8 +17,8 @@ same one at an earlier place) is removed, all but the first occurrence of each s
 4. The removed starts are gathered by document and cut out of its text.
 
 Memory is bounded by a shard or by the longest text. Defined results: null texts are empty; a null id comes after all
-others; rows that repeat id and text are one document, and each gets its result; texts that share an id are ordered by
-a hash of the text; no other column is read.
+others; ids may be of any type with an order; rows that repeat id and text are one document, and each gets its result;
+texts that share an id are ordered by a hash of the text; no other column is read.
 """
 
 from __future__ import annotations
@@ -29,11 +30,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from weft.llm import textbytes as tb
 from weft.llm.shared import map_texts, stored
 from weft.llm.suffixes import permuted_lcp, suffix_array
 
+_MOST = 126  # starts in a piece
 _DONE = 127  # in place of a piece's number of starts: the row's removal is known already
 _LAST_ID = (1 << 63) - 1
 
@@ -58,16 +61,17 @@ def pieces(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tup
     start = np.arange(room.sum()) - np.repeat(np.cumsum(room) - room, room)
     place = start + offsets[row]
     anchor = (best[place] & low).astype(np.int64)
+    apart = (anchor - place) // _MOST
     new = np.ones(len(place), bool)
-    new[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
+    new[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1]) | (apart[1:] != apart[:-1])
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, len(place)))
     begin = place[first]
-    return h[anchor[first]], ranges(begin, begin + count - 1 + length, 1), row[first], start[first], count
+    return h[anchor[first]] + apart[first].astype(tb.U64) * tb.U64(0x9E3779B97F4A7C15), ranges(begin, begin + count - 1 + length, 1), row[first], start[first], count
 
 
-def _packed(tie: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
-    return (tie << 38) | (start << 7) | count
+def _packed(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    return (start << 7) | count
 
 
 def _segments(batch: pa.RecordBatch, length: int, most: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -94,23 +98,28 @@ def _joined(doc: np.ndarray, tie: np.ndarray, a: np.ndarray, b: np.ndarray) -> t
     return doc[first], tie[first], a[first], np.maximum.reduceat(b, first) if len(first) else b
 
 
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Which rows differ from the one before in some column; the first does."""
+    out = np.ones(len(columns[0]), bool)
+    out[1:] = False
+    for x in columns:
+        out[1:] |= x[1:] != x[:-1]
+    return out
+
+
 def _piece_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    names = ["key", "content", "doc", "place"]
+    names = ["key", "content", "doc", "tie", "place"]
 
     def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        key, content, doc, place = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((place, doc, content, key))
-        key, content, doc, place = key[order], content[order], doc[order], place[order]
-        same = np.zeros(len(key), bool)
-        same[1:] = (key[1:] == key[:-1]) & (content[1:] == content[:-1])
-        echo = np.zeros(len(key), bool)
-        echo[1:] = same[1:] & (doc[1:] == doc[:-1]) & (place[1:] == place[:-1])
-        gone = same & ~echo
-        keep = np.flatnonzero(~same)
-        out = [key[keep], content[keep], doc[keep], place[keep]]
-        start = (place[gone] >> 7) & 0x7FFFFFFF
-        d, t, a, b = _joined(doc[gone], place[gone] >> 38, start, start + (place[gone] & 127))
-        more = [d, b, d, _packed(t, a, np.full(len(a), _DONE))]
+        key, content, doc, tie, place = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((place, tie, doc, content, key))
+        key, content, doc, tie, place = (x[order] for x in (key, content, doc, tie, place))
+        new = _changes(key, content)
+        gone = ~new & _changes(doc, tie, place)
+        out = [x[new] for x in (key, content, doc, tie, place)]
+        start = place[gone] >> 7
+        d, t, a, b = _joined(doc[gone], tie[gone], start, start + (place[gone] & 127))
+        more = [d, b, d, t, _packed(a, np.full(len(a), _DONE))]
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x.view(np.int64), y])) for x, y in zip(out, more, strict=True)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +128,7 @@ def _piece_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
             ids, ties = batch.column("doc").to_numpy(), batch.column("tie").to_numpy()
             for data, offsets, rows, base in _segments(batch, length):
                 key, content, row, start, count = pieces(data, offsets, length, gram)
-                held.append((key.view(np.int64), content.view(np.int64), ids[rows[row]], _packed(ties[rows[row]], start + base[row], count)))
+                held.append((key.view(np.int64), content.view(np.int64), ids[rows[row]], ties[rows[row]], _packed(start + base[row], count)))
                 n += len(key)
             if n > 1_000_000:
                 yield from flush(held)
@@ -140,24 +149,24 @@ def _first_pieces(rows: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([head, *(pa.array(x) for x in (doc, tie, a, b))], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # key, content, doc, place of the last row seen
+        last = None  # key, content, doc, tie, place of the last row seen
         held, shared = None, False  # the last first copy, and whether its anchor has others before it
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, content, doc, place = (batch.column(k).to_numpy() for k in range(4))
-            count, tie, start = place & 127, place >> 38, (place >> 7) & 0x7FFFFFFF
-            known = count == _DONE
+            key, content, doc, tie, place = (batch.column(k).to_numpy() for k in range(5))
+            known = place & 127 == _DONE
             if known.any():
-                yield out(None, doc[known], tie[known], start[known], content[known])
-            key, content, doc, place, count, tie, start = (x[~known] for x in (key, content, doc, place, count, tie, start))
+                yield out(None, doc[known], tie[known], place[known] >> 7, content[known])
+            key, content, doc, tie, place = (x[~known] for x in (key, content, doc, tie, place))
             if not len(key):
                 continue
-            last = last or (key[0] ^ 1, 0, 0, 0)
-            before = [np.concatenate([[x], y[:-1]]) for x, y in zip(last, (key, content, doc, place), strict=True)]
+            start, count = place >> 7, place & 127
+            last = last or (key[0] ^ 1, 0, 0, 0, 0)
+            before = [np.concatenate([[x], y[:-1]]) for x, y in zip(last, (key, content, doc, tie, place), strict=True)]
             same = (key == before[0]) & (content == before[1])
-            gone = same & ~((doc == before[2]) & (place == before[3]))
-            last = (key[-1], content[-1], doc[-1], place[-1])
+            gone = same & ~((doc == before[2]) & (tie == before[3]) & (place == before[4]))
+            last = (key[-1], content[-1], doc[-1], tie[-1], place[-1])
             if gone.any():
                 yield out(None, *_joined(doc[gone], tie[gone], start[gone], start[gone] + count[gone]))
             new = np.flatnonzero(~same)
@@ -177,7 +186,7 @@ def _first_pieces(rows: DataFrame) -> DataFrame:
         if held is not None and shared:
             yield out(*(np.array([x]) for x in held))
 
-    dealt = rows.repartition(F.col("key")).sortWithinPartitions("key", "content", "doc", "place")
+    dealt = rows.repartition(F.col("key")).sortWithinPartitions("key", "content", "doc", "tie", "place")
     return dealt.mapInArrow(run, ", ".join(f"{x} long" for x in names))
 
 
@@ -256,6 +265,8 @@ def _shard_rows(parts: DataFrame, length: int) -> DataFrame:
 
 def repeated_starts(docs: DataFrame, length: int = 100, gram: int = 20, shard_bytes: int = 1 << 20, hot_bytes: int = 1 << 23) -> DataFrame:
     """Ranges ``(doc, tie, a, b)`` of starts (from a, below b) whose ``length`` bytes also start earlier."""
+    if not 1 <= gram <= length <= 1 << 17:
+        raise ValueError("gram must be from 1 to length, and length at most 131072")
     found = stored(_first_pieces(_piece_rows(docs, length, gram)), "pieces")
     gone = found.filter("key is null").select("doc", "tie", "a", "b")
     wanted = found.filter("key is not null")
@@ -277,16 +288,23 @@ def repeated_starts(docs: DataFrame, length: int = 100, gram: int = 20, shard_by
     solved = _shard_rows(parts, length)
     if any_hot:
         solved = stored(solved, "shards")
-        first = solved.filter("key is not null").select("key", "content", "doc", (F.shiftleft("tie", 38).bitwiseOR(F.shiftleft("a", 7)).bitwiseOR(F.lit(1))).alias("place"))
+        first = solved.filter("key is not null").select("key", "content", "doc", "tie", F.shiftleft("a", 7).bitwiseOR(F.lit(1)).alias("place"))
         gone = gone.unionByName(_first_pieces(first).filter("key is null").select("doc", "tie", "a", "b"))
         solved = solved.filter("key is null")
     return gone.unionByName(solved.select("doc", "tie", "a", "b"))
 
 
-def identified(docs: DataFrame) -> DataFrame:
-    """``docs`` with the identity ``(doc, tie)`` that the steps use."""
-    tie = F.xxhash64("text").bitwiseAND(F.lit((1 << 24) - 1))
-    return docs.withColumns({"doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)), "tie": tie})
+def identified(docs: DataFrame, doc: str = "doc", tie: str = "tie") -> DataFrame:
+    """``docs`` with the identity ``(doc, tie)`` that the steps use: a long in the order of the ids, the greatest for null
+    ids, and a hash of the text, 0 if no id stands twice. Ids that aren't integers get the place of their sorted order."""
+    kind, ids = docs.schema["doc_id"].dataType, docs.select("doc_id")
+    twice = ids.groupBy("doc_id").count().filter("count > 1").limit(1).count()
+    hashed = F.xxhash64("text").bitwiseAND(F.lit(_LAST_ID)) if twice else F.lit(0).cast("long")
+    if isinstance(kind, IntegralType):
+        return docs.withColumns({doc: F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)), tie: hashed})
+    ranks = stored(ids.filter("doc_id is not null").distinct().orderBy("doc_id").select("doc_id", F.monotonically_increasing_id().alias(doc)), "id-ranks")
+    found = docs.join(ranks, "doc_id", "left")
+    return found.select(*docs.columns, F.coalesce(doc, F.lit(_LAST_ID)).alias(doc), hashed.alias(tie))
 
 
 def without_repeats(docs: DataFrame, length: int = 100, **options) -> DataFrame:

@@ -75,6 +75,14 @@ def maybe_in(df: DataFrame, keys: DataFrame, column: str, bits: int = 24) -> Dat
     return joined.filter(F.call_function("shiftrightunsigned", "_bits", "_bit").bitwiseAND(F.lit(1)) == 1).select(*df.columns)
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """A column name like ``name`` that none of ``columns`` has, in any case."""
+    taken, name = {c.lower() for c in columns}, f"_{name}"
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc32_of_id(column: str = "doc_id") -> Column:
     """CRC-32 of an id written as text, the basis of every hold-out split."""
     return F.crc32(F.col(column).cast("string").cast("binary"))

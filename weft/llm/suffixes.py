@@ -1,16 +1,18 @@
 """Suffix arrays by induced sorting, and permuted common prefixes, in numpy.
 
-Induced sorting (Nong, Zhang and Chan 2009) derives the order of all suffixes from that of the leftmost-smaller ones.
-The scans over the array are sequential by nature; here a bucket is scanned in waves: what a wave adds to its own
-bucket is the next wave, so each wave is a handful of array operations.
+Induced sorting (Nong, Zhang and Chan 2009) derives the order of all suffixes from that of the leftmost-smaller ones,
+which it finds by sorting their substrings the same way and naming these; if names repeat, the string of names is sorted
+by recursion. The scans over the array are sequential by nature. Where there are few buckets, one is scanned in waves:
+what a wave adds to its own bucket is the next wave, so each wave is a handful of array operations. Where there are
+many, as in the reduced strings, or long runs of one symbol, the scan goes suffix by suffix. Both give the same array.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Reduced strings over more symbols than this are ordered by doubling ranks, as each symbol costs a Python step.
-MOST_BUCKETS = 2048
+#: Suffixes that a scan passes in the time of one wave.
+WAVE_COST = 100
 
 
 def _smaller_types(t: np.ndarray) -> np.ndarray:
@@ -25,8 +27,45 @@ def _smaller_types(t: np.ndarray) -> np.ndarray:
     return out
 
 
+def _most_waves(t: np.ndarray) -> int:
+    """Symbols in use and, for each, the length of its longest run: no scan takes more waves."""
+    cuts = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1], [True]]))
+    longest = np.zeros(int(t.max()) + 1, np.int64)
+    np.maximum.at(longest, t[cuts[:-1]], np.diff(cuts))
+    return int(longest.sum() + np.count_nonzero(longest))
+
+
 def _induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The suffix array that follows from ``seeds``, the leftmost-smaller suffixes in some order."""
+    return (_by_suffix if _most_waves(t) * WAVE_COST > len(t) else _by_waves)(t, small, seeds, sizes)
+
+
+def _by_suffix(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    ends = np.cumsum(sizes)
+    symbols, larger, sa = t.tolist(), (~small).tolist(), [-1] * len(t)
+    tails = ends.tolist()
+    for k in reversed(seeds.tolist()):
+        tails[symbols[k]] -= 1
+        sa[tails[symbols[k]]] = k
+    sa[0] = len(t) - 1
+    heads = (ends - sizes).tolist()
+    for k in sa:
+        if k > 0 and larger[k - 1]:
+            c = symbols[k - 1]
+            sa[heads[c]] = k - 1
+            heads[c] += 1
+    tails = ends.tolist()
+    for at in range(len(sa) - 1, -1, -1):
+        k = sa[at]
+        if k > 0 and not larger[k - 1]:
+            c = symbols[k - 1]
+            tails[c] -= 1
+            sa[tails[c]] = k - 1
+    sa[0] = len(t) - 1
+    return np.array(sa, np.int64)
+
+
+def _by_waves(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     ends = np.cumsum(sizes)
     starts = ends - sizes
     sa = np.full(len(t), -1, np.int64)
@@ -72,28 +111,11 @@ def _induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, sizes: np.ndarr
     return sa
 
 
-def _by_doubling(t: np.ndarray) -> np.ndarray:
-    """Suffix array by ranks of twice as many symbols each time (Manber and Myers 1993)."""
-    rank, step = np.unique(t, return_inverse=True)[1].astype(np.int64), 1
-    while True:
-        after = np.zeros(len(t), np.int64)
-        after[:-step] = rank[step:] + 1
-        key = rank * (len(t) + 1) + after
-        order = np.argsort(key, kind="stable")
-        new = np.zeros(len(t), np.int64)
-        new[order[1:]] = np.cumsum(key[order[1:]] != key[order[:-1]])
-        rank, step = new, step * 2
-        if rank[order[-1]] == len(t) - 1 or step >= len(t):
-            return order
-
-
 def suffix_array(t: np.ndarray) -> np.ndarray:
     """The suffix array of ``t``, small non-negative integers of which the last is the unique least."""
     if len(t) < 3:
         return np.argsort(t, kind="stable")
     sizes = np.bincount(t)
-    if len(sizes) > MOST_BUCKETS:
-        return _by_doubling(t)
     small = _smaller_types(t)
     marked = np.zeros(len(t), bool)
     marked[1:] = small[1:] & ~small[:-1]

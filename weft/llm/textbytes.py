@@ -39,9 +39,9 @@ def mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
     return h ^ (h >> U64(32))
 
 
-def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a string column, and where each row starts and ends; nulls are empty."""
-    column = column.cast(pa.large_string()).fill_null("")
+def column_bytes(column: pa.Array, kind: pa.DataType = pa.large_string()) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a string column (or of a binary one, by ``kind``), and where each row starts and ends; nulls are empty."""
+    column = column.cast(kind).fill_null("" if kind == pa.large_string() else b"")
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] is not None else np.empty(0, np.uint8)
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
