@@ -20,8 +20,9 @@ def test_banded_distance():
     rng = np.random.default_rng(1)
     texts = [rng.integers(97, 100, rng.integers(1, 12)).astype(np.uint8) for _ in range(60)]
     a, b = map(np.array, zip(*[(i, j) for i in range(60) for j in range(i)], strict=True))
+    size = np.array([len(t) for t in texts])
     for most in (1, 2, 3):
-        got = linededup.within_distance(texts, a, b, most, lanes=100)
+        got = linededup.within_distance(np.concatenate(texts).astype(np.int16), np.cumsum(size) - size, size, a, b, most, lanes=100)
         assert list(got) == [edits(texts[i], texts[j]) <= most for i, j in zip(a, b, strict=True)]
 
 
@@ -34,6 +35,8 @@ def test_line_bounds():
     assert got == [(r, k, line.strip()) for r, t in enumerate(texts) for k, line in enumerate(t.split("\n"))]
 
 
+#: Exact copies from 20 bytes, near ones of two edits from 48.
+OLD = {"min_bytes": 20, "classes": [linededup.Near(False, 2, 48)]}
 BASE = "the quick brown fox jumps over the lazy dog and runs into the deep dark forest"
 
 
@@ -68,7 +71,7 @@ def brute(rows, most=2, least=20, near=48):
 def test_removed_lines(spark):
     expected = brute(rows())
     docs = spark.createDataFrame([(i, t, 1, "y") for i, t in rows()], SCHEMA + ", line long, lines string")
-    got = linededup.line_report(docs).collect()
+    got = linededup.line_report(docs, **OLD).collect()
     assert len(got) == len(rows())
     for r in got:
         assert r.removed_lines == ",".join(map(str, expected[r.doc_id])) and r.n_removed == len(expected[r.doc_id])
@@ -77,14 +80,14 @@ def test_removed_lines(spark):
 def test_large_keys_are_compared_by_blocks(spark, monkeypatch):
     monkeypatch.setattr(linededup, "BLOCK", 2)
     expected = brute(rows())
-    for r in linededup.line_report(spark.createDataFrame(rows(), SCHEMA)).collect():
+    for r in linededup.line_report(spark.createDataFrame(rows(), SCHEMA), **OLD).collect():
         assert r.removed_lines == ",".join(map(str, expected[r.doc_id]))
 
 
 def test_texts_without_removed_lines(spark):
     docs = spark.createDataFrame([(i, t, len(t or "")) for i, t in rows()], SCHEMA + ", n_chars long")
     expected, texts = brute(rows()), dict(rows())
-    got = linededup.without_repeated_lines(docs).collect()
+    got = linededup.without_repeated_lines(docs, **OLD).collect()
     for r in got:
         if r.doc_id is None or texts[r.doc_id] is None:
             continue
@@ -143,5 +146,33 @@ def test_near_copies_by_growing_thresholds(spark):
     lines = [lines[k] for k in rng.permutation(len(lines))]
     expected = {k for k, x in enumerate(lines) if any(near_by_classes(y.encode(), x.encode()) for y in lines[:k])}
     docs = spark.createDataFrame(list(enumerate(lines)), SCHEMA)
-    assert {r.doc_id for r in linededup.line_report(docs, **linededup.WHOLE).collect() if r.n_removed} == expected
+    assert {r.doc_id for r in linededup.line_report(docs).collect() if r.n_removed} == expected
     assert len(expected) > 100
+
+
+def test_near_rows_of_several_groups():
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(97, 100, rng.integers(1, 9)).astype(np.int16) for _ in range(90)]
+    size = np.array([len(t) for t in texts])
+    begin = np.repeat([0, 1, 31, 60], [1, 30, 29, 30])
+    side = np.concatenate([np.zeros(31, np.int64), rng.integers(0, 2, 59)])
+    got = linededup.near_rows(np.concatenate(texts), np.cumsum(size) - size, size, begin, side, 2, most=100)
+    for k in range(90):
+        earlier = [j for j in range(begin[k], k) if k < 31 or side[j] != side[k]]
+        assert got[k] == any(edits(texts[j], texts[k]) <= 2 for j in earlier)
+
+
+def test_other_columns_and_string_ids(spark):
+    texts = {"b": BASE + "\nsome line", "a": "some line\nX", "c": BASE.replace("lazy", "lzy") + "\nyet another", "": None}
+    docs = spark.createDataFrame([(i, t, 111, "t1", "x", 7) for i, t in texts.items()] + [(None, "X\nlast of all", 111, "t1", "x", 7)], "doc_id string, text string, doc int, tie string, lines string, _doc int")
+    got = linededup.without_repeated_lines(docs)
+    assert got.columns == docs.columns
+    rows = {r.doc_id: r for r in got.collect()}
+    assert {(r.doc, r.tie, r.lines, r["_doc"]) for r in rows.values()} == {(111, "t1", "x", 7)}
+    assert {i: r.text for i, r in rows.items()} == {"a": texts["a"], "b": BASE, "c": "yet another", "": None, None: "last of all"}
+
+
+def test_texts_that_share_an_id(spark):
+    docs = spark.createDataFrame([(1, "one line here"), (1, "one line here\nand another"), (1, "one line here"), (2, "and another\nnew")], SCHEMA)
+    got = linededup.line_report(docs).collect()
+    assert sum(r.n_removed for r in got if r.doc_id == 1) in (1, 2) and sum(r.n_removed for r in got if r.doc_id == 2) == 1

@@ -1,11 +1,10 @@
 """Line deduplication: exact copies, and near copies found by a segment-partition edit join.
 
-A line (stripped of white space at its ends, compared as UTF-8 bytes) of ``min_bytes`` or more is removed if an equal
-line stands earlier, in a document of smaller id or further up in the same one, or if it and some earlier line of
-``near_bytes`` or more are within ``distance`` edits. Shorter lines stay; the query and the pipeline stage take the
-options of ``WHOLE``, by which exact copies of every non-empty line go, and near copies by ``GROWING`` thresholds: of the
-shorter line, 1 byte edit from 10 bytes, 2 from 20; also 1 word edit (a word replaced, put in or left out) from 8 words,
-2 from 32 and 4 from 64, where they include the byte edits. Thresholds stop at 4 words, as keys grow with their cube.
+A line (stripped of white space at its ends, compared as UTF-8 bytes) is removed if an equal line stands earlier, in a
+document of smaller id or further up in the same one, or if it is near some earlier line by the thresholds of
+``GROWING``, which follow the shorter line: 1 byte edit from 10 bytes, 2 from 20; also 1 word edit (a word replaced, put
+in or left out) from 8 words, 2 from 32 and 4 from 64, where they include the byte edits. Thresholds stop at 4 words, as
+keys grow with their cube. Empty lines stay; ``min_bytes`` and ``classes`` can be set otherwise.
 
 Near copies: of two lines within t edits, cut into t + 1 even segments, the longer holds some segment of the shorter at
 nearly the same place (Li, Deng, Wang and Feng 2011). So each distinct line is indexed under its own segments, and
@@ -16,7 +15,8 @@ more than ``BLOCK`` lines are compared by pairs of blocks, so no task holds all
 to remove, never pairs.
 
 Texts are read again only for the lines that share a key. Defined results: null texts have no lines; a null id comes
-after all others; rows that repeat id and text are one document; texts that share an id are ordered by a hash.
+after all others; ids may be of any type with an order; rows that repeat id and text are one document; texts that share
+an id are ordered by a hash.
 """
 
 from __future__ import annotations
@@ -30,11 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm import textbytes as tb
-from weft.llm.pathjoin import _groups
 from weft.llm.repeats import identified
-from weft.llm.shared import map_texts, maybe_in, stored
+from weft.llm.shared import fresh, map_texts, maybe_in, stored
+
+#: Lines of a key compared in one task, and pairs of lines given to one partition.
+BLOCK, PAIRS = 256, 1 << 20
 
-BLOCK = 256
 
 class Near(NamedTuple):
     """Lines whose shorter one has ``least`` to ``below - 1`` bytes or words are near within ``distance`` of these."""
@@ -49,8 +50,6 @@ class Near(NamedTuple):
 GROWING = [Near(False, 1, 10, 20), Near(False, 2, 20), Near(True, 1, 8, 32), Near(True, 2, 32, 64), Near(True, 4, 64)]
 #: Words from which a line is left to the last class: those of its shorter line and of two split ones.
 LONG_WORDS = 64 + 2
-#: Options of the query and of the pipeline stage.
-WHOLE = {"min_bytes": 1, "classes": GROWING}
 
 
 def lines_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -179,28 +178,38 @@ def _shared_keys(rows: DataFrame) -> DataFrame:
     return rows.repartition(F.col("key")).sortWithinPartitions("key", "line").mapInArrow(run, "key long, line long")
 
 
-def within_distance(texts: list[np.ndarray], a: np.ndarray, b: np.ndarray, distance: int, lanes: int = 1024) -> np.ndarray:
-    """Whether ``texts[a]`` and ``texts[b]`` are within ``distance`` edits, for many pairs at once.
+def within_distance(symbols: np.ndarray, first: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray, distance: int, lanes: int = 8192, cells: int = 1 << 21) -> np.ndarray:
+    """Whether lines ``a`` and ``b`` are within ``distance`` edits, for many pairs at once. Line k is the ``size[k]`` non-negative
+    integers of ``symbols`` from ``first[k]``.
 
     Bit o of a column's words stands for the row o - distance below the diagonal. The distance is the difference of
-    the lengths and one for each step of the final diagonal that doesn't keep its value."""
-    size = np.array([len(t) for t in texts])
+    the lengths and one for each step of the final diagonal that doesn't keep its value; pairs beyond it are dropped on
+    the way."""
     out = np.zeros(len(a), bool)
     order = np.argsort(size[b], kind="stable")
     one, full = np.uint32(1), np.uint32((1 << (2 * distance + 1)) - 1)
-    for chunk in (order[k : k + lanes] for k in range(0, len(order), lanes)):
+    at = 0
+    while at < len(order):
+        many = lanes
+        while many > 1 and int(size[b[order[min(at + many, len(order)) - 1]]] + distance) * many > cells:
+            many //= 2
+        chunk, at = order[at : at + many], at + many
+        m, n = size[a[chunk]], size[b[chunk]]
+        chunk = chunk[np.abs(m - n) <= distance]
+        if not len(chunk):
+            continue
         m, n = size[a[chunk]], size[b[chunk]]
-        width = int(max(m.max(), n.max()))
-        rows = np.full((width + 2 * distance + 1, len(chunk)), -1, np.int32)
-        cols = np.full((width, len(chunk)), -2, np.int32)
-        for k, pair in enumerate(chunk):
-            rows[distance : distance + m[k], k] = texts[a[pair]]
-            cols[: n[k], k] = texts[b[pair]]
+        step = np.arange(int(max(m.max(), n.max())))[:, None]
+        cut = lambda of, most: np.where(step < most, symbols[np.minimum(first[of] + step, len(symbols) - 1)], -1)
+        rows = np.full((len(step) + 2 * distance + 1, len(chunk)), -1, symbols.dtype)
+        rows[distance : distance + len(step)] = cut(a[chunk], m)
+        cols = cut(b[chunk], n)
+        cols[step >= n] = -2
         vp = np.full(len(chunk), full & ~np.uint32((1 << distance) - 1), np.uint32)
         vn = np.zeros(len(chunk), np.uint32)
         last = (distance + m - n).astype(np.uint32)
         score = np.abs(m - n)
-        for j in range(int(n.max())):
+        for j in range(len(step)):
             pm = np.zeros(len(chunk), np.uint32)
             for o in range(2 * distance + 1):
                 pm |= (rows[j + o] == cols[j]).astype(np.uint32) << np.uint32(o)
@@ -209,44 +218,94 @@ def within_distance(texts: list[np.ndarray], a: np.ndarray, b: np.ndarray, dista
             down = d0 >> one
             vp, vn = (hn | ~(down | hp)) & full, down & hp
             live = (j < n) & (j + 1 + m - n >= 1)
-            score += live & (((d0 >> last) & one) == 0)
-            if j % 32 == 31 and (score > distance).all():
-                break
-        out[chunk] = (score <= distance) & (np.abs(m - n) <= distance)
+            score = score + (live & (((d0 >> last) & one) == 0))
+            if j % 16 == 15:
+                left = np.flatnonzero(score <= distance)
+                if not len(left):
+                    chunk = chunk[:0]
+                    break
+                if 2 * len(left) < len(chunk):
+                    chunk, m, n, vp, vn, last, score = (x[left] for x in (chunk, m, n, vp, vn, last, score))
+                    rows, cols = rows[:, left], cols[:, left]
+        out[chunk] = (score <= distance) if len(chunk) else False
     return out
 
 
-def _later_copies(rows: DataFrame, classes: list[Near]) -> DataFrame:
-    """``(h1, h2)`` of lines that are near an earlier line of their task by its class."""
+def _pairs(begin: np.ndarray, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of a row from ``first`` to below ``last`` and an earlier row of its group, which starts at ``begin``."""
+    rows = np.arange(first, last)
+    before = rows - begin[first:last]
+    b = np.repeat(rows, before)
+    return begin[b] + np.arange(len(b)) - np.repeat(np.cumsum(before) - before, before), b
+
+
+def near_rows(symbols: np.ndarray, first: np.ndarray, size: np.ndarray, begin: np.ndarray, side: np.ndarray, distance: int, most: int = 1 << 18) -> np.ndarray:
+    """Which lines are near an earlier one of their group. Groups follow each other; ``begin`` is where a line's starts.
+    Groups that have lines of two sides are compared across them only. ``most`` pairs are held at a time."""
+    out = np.zeros(len(size), bool)
+    counts = np.zeros((len(size), 64), np.int16)
+    row = np.repeat(np.arange(len(size)), size)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + first[row]
+    found = np.bincount(row * 64 + (symbols[place] & 63), minlength=64 * len(size)).reshape(-1, 64)
+    np.minimum(found, 1 << 14, out=found)
+    counts[:] = found
+    starts = np.unique(begin)
+    two = np.repeat(np.maximum.reduceat(side, starts) > np.minimum.reduceat(side, starts), np.diff(np.append(starts, len(size))))
+    before = np.cumsum(np.arange(len(size)) - begin)
+    at = 0
+    while at < len(size):
+        stop = max(at + 1, int(np.searchsorted(before, (before[at - 1] if at else 0) + most, "right")))
+        a, b = _pairs(begin, at, stop)
+        good = np.flatnonzero((np.abs(size[a] - size[b]) <= distance) & (~two[b] | (side[a] != side[b])))
+        a, b = a[good], b[good]
+        good = np.concatenate([np.abs(counts[a[k : k + 8192]] - counts[b[k : k + 8192]]).sum(1, dtype=np.int64) <= 2 * distance for k in range(0, len(a), 8192)] or [np.zeros(0, bool)])
+        a, b = a[good], b[good]
+        if len(a):
+            out[b[within_distance(symbols, first, size, a, b, distance)]] = True
+        at = stop
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _groups("task", batches):
-            place = np.column_stack([t[c].to_numpy() for c in ("doc", "tie", "line", "side")])
-            order = np.lexsort((place[:, 2], place[:, 1], place[:, 0]))
-            side = place[order, 3]
-            near_by = classes[t["class"][0].as_py()]
-            distance = near_by.distance
-            texts = [np.frombuffer(t["bytes"][int(k)].as_py(), np.uint8) for k in order]
+
+def _later_copies(rows: DataFrame, classes: list[Near], held_rows: int = 1 << 14, held_bytes: int = 1 << 23) -> DataFrame:
+    """``(h1, h2)`` of lines that are near an earlier line of their task by its class. Many tasks are compared at once;
+    ``rows`` are sorted by task."""
+
+    def solve(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        if not t.num_rows:
+            return
+        t = t.combine_chunks()
+        task, doc, tie, line, side, kind = (t[c].to_numpy() for c in ("task", "doc", "tie", "line", "side", "class"))
+        for number in np.unique(kind):
+            own = np.flatnonzero(kind == number)
+            own = own[np.lexsort((line[own], tie[own], doc[own], task[own]))]
+            data, offsets = tb.column_bytes(t["bytes"].take(pa.array(own)).combine_chunks(), pa.large_binary())
+            start = np.flatnonzero(np.concatenate([[True], task[own][1:] != task[own][:-1]]))
+            begin = np.repeat(start, np.diff(np.append(start, len(own))))
+            near_by = classes[number]
             if near_by.words:
-                ends = np.cumsum([0] + [len(x) + 1 for x in texts])
-                words, a, b = line_words(np.concatenate([y for x in texts for y in (x, np.array([32], np.uint8))]), ends[:-1], ends[1:])
-                ids = np.unique(words, return_inverse=True)[1]
-                texts = [ids[i:j] for i, j in zip(a, b, strict=True)]
-            size = np.array([len(x) for x in texts])
-            counts = np.zeros((len(texts), 64), np.int32)
-            for k, x in enumerate(texts):
-                counts[k] = np.bincount(x & 63, minlength=64)
-            a, b = [], []
-            for k in range(1, len(texts)):
-                near = np.flatnonzero((np.abs(size[:k] - size[k]) <= distance) & ((side[:k] != side[k]) | ~side.any()))
-                near = near[np.abs(counts[near] - counts[k]).sum(1) <= 2 * distance]
-                a.append(near)
-                b.append(np.full(len(near), k))
-            a, b = (np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64) for x in (a, b))
-            gone = np.unique(b[within_distance(texts, a, b, distance)]) if len(a) else a
+                words, a, b = line_words(data, offsets[:-1], offsets[1:])
+                symbols = np.unique(words, return_inverse=True)[1].astype(np.int32)
+            else:
+                symbols, a, b = data.astype(np.int16), offsets[:-1], offsets[1:]
+            gone = own[near_rows(symbols, a, b - a, begin, side[own], near_by.distance)] if len(symbols) else own[:0]
             if len(gone):
-                h1, h2 = (t[c].to_numpy()[order][gone] for c in ("h1", "h2"))
-                yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2)], names=["h1", "h2"])
+                yield pa.RecordBatch.from_arrays([pa.array(t[c].to_numpy()[gone]) for c in ("h1", "h2")], names=["h1", "h2"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            if sum(x.num_rows for x in held) < held_rows and sum(x.nbytes for x in held) < held_bytes:
+                continue
+            t = pa.Table.from_batches(held)
+            task = t["task"].to_numpy()
+            cut = int(np.flatnonzero(task == task[-1])[0])
+            yield from solve(t.slice(0, cut))
+            held = t.slice(cut).to_batches()
+        if held:
+            yield from solve(pa.Table.from_batches(held))
 
     return rows.mapInArrow(run, "h1 long, h2 long")
 
@@ -280,24 +339,28 @@ def near_copies(docs: DataFrame, firsts: DataFrame, classes: list[Near]) -> Data
     wanted = keys.select(F.col("line").bitwiseAND(F.lit(-2)).alias("low")).distinct()
     members = stored(firsts.withColumn("low", low).join(wanted, "low").select("h1", "h2", "doc", "tie", "line").hint("rebalance"), "line-members")
     lines = stored(_line_bytes(docs, members).hint("rebalance"), "line-bytes")
-    sizes = keys.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.max(F.col("line").bitwiseAND(F.lit(1))).alias("indexed")).filter("indexed = 1")
-    each = keys.join(sizes, "key").select("key", "blocks", F.col("line").bitwiseAND(F.lit(-2)).alias("low")).distinct()
+    size = F.count("*")
+    blocks = F.ceil(size / BLOCK).cast("int")
+    sizes = keys.groupBy("key").agg(blocks.alias("blocks"), (size * F.least(size, F.lit(2 * BLOCK))).alias("pairs"), F.max(F.col("line").bitwiseAND(F.lit(1))).alias("indexed"))
+    sizes = stored(sizes.filter("indexed = 1").drop("indexed"), "line-key-sizes")
+    tasks = 1 + int((sizes.agg(F.sum("pairs")).first()[0] or 0) // PAIRS)
+    each = keys.join(sizes.drop("pairs"), "key").select("key", "blocks", F.col("line").bitwiseAND(F.lit(-2)).alias("low")).distinct()
     rows = each.join(lines.withColumn("low", low), "low")
     block = F.pmod(F.xxhash64("h1", "h2"), F.col("blocks")).cast("int")
     rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     task = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
     rows = rows.select(task.alias("task"), F.col("key").bitwiseAND(F.lit(15)).alias("class"), "h1", "h2", "doc", "tie", "line", F.col("block").__gt__(F.col("other")).cast("long").alias("side"), "bytes")
-    return _later_copies(rows.repartition("task").sortWithinPartitions("task"), classes).distinct()
+    return _later_copies(rows.repartition(tasks, "task").sortWithinPartitions("task"), classes).distinct()
 
 
-def removed_lines(docs: DataFrame, distance: int = 2, min_bytes: int = 20, near_bytes: int = 48, classes: list[Near] | None = None) -> DataFrame:
+def removed_lines(docs: DataFrame, min_bytes: int = 1, classes: list[Near] | None = None) -> DataFrame:
     """``(doc, tie, lines)``: the ascending numbers of each document's removed lines; documents without any are left
-    out. ``docs`` has the identity columns of :func:`weft.llm.repeats.identified`. ``classes`` replace ``distance`` and
-    ``near_bytes``."""
+    out. ``docs`` has the identity columns of :func:`weft.llm.repeats.identified`. ``classes`` are :data:`GROWING` if not
+    given."""
     seen = stored(occurrences(docs, min_bytes), "lines")
     firsts = stored(seen.groupBy("h1", "h2").agg(F.min(F.struct("doc", "tie", "line")).alias("f")).select("h1", "h2", "f.doc", "f.tie", "f.line"), "first-lines")
-    near = near_copies(docs, firsts, classes or [Near(False, distance, near_bytes)]).withColumn("near", F.lit(True))
-    known = firsts.join(near, ["h1", "h2"], "left").select("h1", "h2", F.struct("doc", "tie", "line").alias("first"), "near")
+    near = near_copies(docs, firsts, GROWING if classes is None else classes).withColumn("near", F.lit(True))
+    known = stored(firsts.join(near, ["h1", "h2"], "left").select("h1", "h2", F.struct("doc", "tie", "line").alias("first"), "near"), "known-lines")
     gone = seen.join(known, ["h1", "h2"]).filter(F.col("near").isNotNull() | (F.struct("doc", "tie", "line") != F.col("first")))
     return gone.groupBy("doc", "tie").agg(F.sort_array(F.collect_set(F.col("line").cast("int"))).alias("lines"))
 
@@ -312,13 +375,15 @@ def line_report(docs: DataFrame, **options) -> DataFrame:
 
 
 def without_repeated_lines(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the removed lines; documents of which nothing is left go. ``n_chars`` follows, if there."""
-    columns, named = docs.columns, identified(docs)
-    found = named.join(removed_lines(named, **options).hint("shuffle_hash"), ["doc", "tie"], "left")
+    """``docs`` without the removed lines; documents of which nothing is left go. ``n_chars`` follows, if there. Other
+    columns keep their values, whatever their names."""
+    doc, tie, lines = (fresh(docs.columns, c) for c in ("doc", "tie", "lines"))
+    gone = removed_lines(identified(docs.select("doc_id", "text")), **options).withColumnsRenamed({"doc": doc, "tie": tie, "lines": lines})
+    found = identified(docs, doc, tie).join(gone.hint("shuffle_hash"), [doc, tie], "left")
     every = F.split("text", "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), "lines")
-    text = F.when(F.col("lines").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda k: F.get(every, k)), "\n"))
-    out = found.withColumn("text", text).filter(F.col("lines").isNull() | (F.trim(F.translate("text", "\n\r\t", "   ")) != ""))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.when(F.col("lines").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*columns)
+    kept = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), lines)
+    text = F.when(F.col(lines).isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda k: F.get(every, k)), "\n"))
+    out = found.withColumn("text", text).filter(F.col(lines).isNull() | (F.trim(F.translate("text", "\n\r\t", "   ")) != ""))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col(lines).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return out.select(*docs.columns)
