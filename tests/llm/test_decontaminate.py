@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pytest
 
@@ -33,7 +34,7 @@ def brute(rows, items):
     return sorted(out)
 
 
-@pytest.mark.parametrize(("short", "shard"), [(False, 200_000), (True, 200_000), (True, 20)])
+@pytest.mark.parametrize(("short", "shard"), [(False, 200_000), (True, 200_000), (True, 20), (False, 40)])
 def test_report(spark, short, shard):
     rows = corpus(6)
     items = items_from(rows, short)
@@ -59,3 +60,31 @@ def test_empty_tables(spark):
     assert decontaminate.contamination_report(docs, items).collect() == []
     got = decontaminate.contamination_report(spark.createDataFrame([(1, "a b")], SCHEMA), items).first()
     assert (got.n_words, got.n_hit, got.contaminated) == (2, 0, False)
+
+
+def test_many_shards(spark):
+    """Each shard has a bounded number of words, however long an item is."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefg", k=rng.randint(1, 4)))
+    items = [(k, " ".join(word() for _ in range(rng.randint(12, 60)))) for k in range(120)] + [(500, " ".join(word() for _ in range(3000)))]
+    rows = []
+    for k in range(80):
+        text = [word() for _ in range(rng.randint(0, 80))]
+        for _ in range(rng.randint(0, 3)):
+            source = rng.choice(items)[1].split()
+            a = rng.randrange(len(source))
+            text[rng.randint(0, len(text)) : 0] = source[a : a + rng.randint(5, 40)]
+        rows.append((k, " ".join(text)))
+    rows += [(900, items[500 - 380][1]), (901, items[3][1]), (901, items[3][1]), (None, items[4][1])]
+    given = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], SCHEMA + ", k1 int, _may int")
+    got = decontaminate.match_spans(docs, given, shard_words=130)
+    assert got.columns == ["doc_id", "text", "k1", "_may", "n_words", "spans", "item_ids"]
+    found = decontaminate.contamination_report(docs, given, shard_words=130).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in found) == brute(rows, items)
+    named = given.selectExpr("cast(item_id as string) name", "text").distinct()
+    parts = decontaminate._item_parts(named, 10, 32).selectExpr("pmod(xxhash64(name, words), 50) shard", "size(hashes) n").groupBy("shard").sum("n").collect()
+    assert len(parts) > 40 and max(r[1] for r in parts) < 8 * 130
+    cut = decontaminate.remove_spans(docs, given, shard_words=130).collect()
+    whole = decontaminate.remove_spans(docs, given).collect()
+    assert sorted(map(str, cut)) == sorted(map(str, whole))

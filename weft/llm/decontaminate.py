@@ -7,8 +7,9 @@ are streamed through it while the length of the longest match that ends at each
 Stretches of a document in which some pair of neighbouring words follows in no item can't hold a window, so they are
 skipped before the automaton runs. That test uses hashes; the automaton compares words themselves.
 
-Benchmarks may be large: items are dealt into automata of at most ``shard_words`` words each, through which the
-documents pass one after another in one stage.
+Items of at most ``shard_words`` words in all make one automaton that every worker gets. Larger benchmarks are dealt into
+shards of about as many words, whose automata are built by the tasks that use them; stretches of documents are sent to
+the shards that may hold their windows, so neither the driver nor a worker ever holds more than one automaton.
 
 Defined results: null texts, empty texts and texts without words have no words and no hits; null or wordless items
 match nothing; items with a null id take part in hits but are not listed; repeated items and repeated documents are
@@ -17,16 +18,20 @@ treated row by row; other columns of either table are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm import textbytes as tb
-from weft.llm.shared import map_texts
+from weft.llm.shared import fresh, map_texts, maybe_marked, stored
 
+#: A word, before A-Z are lower-cased.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SPANS = "n_words long, spans array<struct<first:int,last:int,first_byte:int,last_byte:int>>, item_ids array<string>"
 
 
@@ -126,21 +131,31 @@ def _pairs(h: np.ndarray) -> np.ndarray:
 
 
 class _Filter:
-    """Finds the stretches of words that may hold a window."""
+    """Finds the stretches of words that may hold a window of ``least`` words or more. ``marks`` tells of hashes of words
+    (if ``least`` is 1) or of pairs of them whether an item may have them."""
 
-    def __init__(self, items: list[tuple[str | None, list[str]]], window: int):
-        sizes = [min(len(words), window) for _, words in items if words]
-        self.least = min(sizes, default=window)
-        column = pa.array([" ".join(words) for _, words in items], pa.large_string())
-        w = tb.words_of(*tb.column_bytes(column))
-        inner = np.ones(max(len(w.hash) - 1, 0), bool)
-        inner[w.bounds[1:-1][(w.bounds[1:-1] > 0) & (w.bounds[1:-1] < len(w.hash))] - 1] = False
-        self.known = tb.HashTable(w.hash if self.least == 1 else _pairs(w.hash)[inner] if len(w.hash) else w.hash)
+    def __init__(self, least: int, marks: Callable[[np.ndarray], np.ndarray]):
+        self.least, self.marks = least, marks
+
+    @classmethod
+    def of_items(cls, items: list[tuple[str | None, list[str]]], window: int) -> _Filter:
+        least = min((min(len(words), window) for _, words in items if words), default=window)
+        w = tb.words_of(*tb.column_bytes(pa.array([" ".join(words) for _, words in items], pa.large_string())))
+        known = _sieve_hashes(w, least)
+        return cls(least, tb.HashTable(known).marks if len(known) else lambda h: np.zeros(len(h), bool))
+
+    @classmethod
+    def of_bitmap(cls, bits: np.ndarray, size: int, least: int) -> _Filter:
+        def marks(h: np.ndarray) -> np.ndarray:
+            place = h >> tb.U64(64 - size)
+            return (bits[(place >> tb.U64(6)).astype(np.int64)] >> (place & tb.U64(63))) & tb.U64(1) == 1
+
+        return cls(least, marks)
 
     def stretches(self, w: tb.Words) -> tuple[np.ndarray, np.ndarray]:
-        if not len(w.hash) or not len(self.known.keys):
+        if not len(w.hash):
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        found = self.known.marks(w.hash if self.least == 1 else _pairs(w.hash))
+        found = self.marks(w.hash if self.least == 1 else _pairs(w.hash))
         if self.least == 1:
             return tb.spans(found, w.bounds)
         cut = w.bounds[1:-1]
@@ -150,6 +165,23 @@ class _Filter:
         return first[keep], last[keep] + 1
 
 
+def _sieve_hashes(w: tb.Words, least: int) -> np.ndarray:
+    """Hashes of the words of each text, or of its pairs of neighbouring words."""
+    if least == 1 or not len(w.hash):
+        return w.hash
+    inner = np.ones(len(w.hash) - 1, bool)
+    cut = w.bounds[1:-1]
+    inner[cut[(cut > 0) & (cut < len(w.hash))] - 1] = False
+    return _pairs(w.hash)[inner]
+
+
+def anchors(h: np.ndarray, lengths: list[int]) -> np.ndarray:
+    """Of each run of so many words, the least hash among its pairs of neighbours: equal windows have equal anchors."""
+    pairs = tb.mix(_pairs(h), 21) if len(h) > 1 else h[:0]
+    found = [tb.mix(h, 22) if n == 1 else sliding_window_view(pairs, n - 1).min(1) for n in lengths if len(h) >= n]
+    return np.unique(np.concatenate(found)) if found else h[:0]
+
+
 def _merged(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
     out: list[tuple[int, int, int, int]] = []
     for span in sorted(found):
@@ -161,59 +193,210 @@ def _merged(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int,
     return out
 
 
-def _automata(items: DataFrame, window: int, shard_words: int, id_column: str, text_column: str) -> list[tuple[SuffixAutomaton, _Filter]]:
-    """Automata over all items, each of ``shard_words`` words or one item; items are fetched row by row."""
-    out, shard, held = [], [], 0
-    rows = items.select(F.col(id_column).cast("string"), text_column).distinct()
-    for name, text in rows.toLocalIterator():
-        w = tb.words_of(*tb.column_bytes(pa.array([text], pa.large_string())))
-        words = [w.text(k) for k in range(len(w.start))]
-        if words:
-            shard.append((name, words))
-            held += len(words)
-        if held > shard_words:
-            out.append((SuffixAutomaton(shard, window), _Filter(shard, window)))
-            shard, held = [], 0
-    if shard:
-        out.append((SuffixAutomaton(shard, window), _Filter(shard, window)))
-    return out
+_SPAN = pa.struct([(x, pa.int32()) for x in ("first", "last", "first_byte", "last_byte")])
 
 
-def match_spans(docs: DataFrame, items: DataFrame, window: int = 10, shard_words: int = 200_000, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """All columns of ``docs`` and, for each row, ``n_words``, the hit ``spans`` (word and byte bounds) and ``item_ids``.
+def _spans_of(automaton: SuffixAutomaton, words: list[str], base: int, start: np.ndarray, end: np.ndarray) -> tuple[list[tuple[int, int, int, int]], set[str | None]]:
+    """Hit spans of a stretch whose first word is the text's word ``base``, and the items that hit it."""
+    spans: list[tuple[int, int, int, int]] = []
+    held: set[str | None] = set()
+    for stop, length, names in automaton.stream(words):
+        k = stop - length
+        span = (base + k, base + stop, int(start[k]), int(end[stop - 1]))
+        if spans and spans[-1][0] <= span[0] <= spans[-1][1] <= span[1]:
+            spans[-1] = (spans[-1][0], span[1], spans[-1][2], span[3])
+        else:
+            spans.append(span)
+        held |= names
+    return spans, held
 
-    Columns of ``docs`` that bear one of these three names are replaced.
-    """
-    docs = docs.drop("n_words", "spans", "item_ids")
-    names = [f.name for f in docs.schema.fields]
-    shared = [docs.sparkSession.sparkContext.broadcast(x) for x in _automata(items, window, shard_words, item_id, item_text)]
-    kind = pa.list_(pa.struct([(x, pa.int32()) for x in ("first", "last", "first_byte", "last_byte")]))
+
+def _with_one_automaton(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
+    """For items of a bounded number of words: their automaton goes to every worker."""
+    known = []
+    for name, text in items.toLocalIterator():
+        w = tb.words_of(*tb.column_bytes(pa.array([text], pa.large_string())))
+        known.append((name, [w.text(k) for k in range(len(w.start))]))
+    shared = docs.sparkSession.sparkContext.broadcast((SuffixAutomaton(known, window), [x for x in known if x[1]]))
+    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton, known = shared.value
+        sieve = _Filter.of_items(known, window)
         for whole in batches:
             for batch, data, offsets in tb.slices(whole):
                 w = tb.words_of(data, offsets)
                 found: list[list[tuple[int, int, int, int]]] = [[] for _ in range(batch.num_rows)]
                 held: list[set[str | None]] = [set() for _ in range(batch.num_rows)]
-                for each in shared:
-                    automaton, sieve = each.value
-                    first, last = sieve.stretches(w)
-                    rows = np.searchsorted(w.bounds, first, "right") - 1
-                    for row, a, b in zip(rows.tolist(), first.tolist(), last.tolist(), strict=True):
-                        base, zero = int(w.bounds[row]), int(offsets[row])
-                        for end, length, names_ in automaton.stream([w.text(k) for k in range(a, b)]):
-                            k, m = a + end - length, a + end
-                            span = (k - base, m - base, int(w.start[k]) - zero, int(w.end[m - 1]) - zero)
-                            if found[row] and found[row][-1][0] <= span[0] <= found[row][-1][1] <= span[1]:
-                                found[row][-1] = (found[row][-1][0], span[1], found[row][-1][2], span[3])
-                            else:
-                                found[row].append(span)
-                            held[row] |= names_
-                spans_ = [[dict(zip(("first", "last", "first_byte", "last_byte"), s, strict=True)) for s in _merged(x)] for x in found]
-                columns = [pa.array(np.diff(w.bounds)), pa.array(spans_, kind), pa.array([sorted(x - {None}) for x in held], pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*names, "n_words", "spans", "item_ids"])
-
-    return map_texts(docs, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", " + SPANS)
+                first, last = sieve.stretches(w)
+                rows = np.searchsorted(w.bounds, first, "right") - 1
+                for row, a, b in zip(rows.tolist(), first.tolist(), last.tolist(), strict=True):
+                    words = [w.text(k) for k in range(a, b)]
+                    spans, names_ = _spans_of(automaton, words, a - int(w.bounds[row]), w.start[a:b] - offsets[row], w.end[a:b] - offsets[row])
+                    found[row] += spans
+                    held[row] |= names_
+                yield _reported(batch, names, np.diff(w.bounds), found, held)
+
+    return map_texts(docs, run, f"{_fields(docs)}, {SPANS}")
+
+
+def _fields(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def _reported(batch: pa.RecordBatch, names: list[str], n_words: np.ndarray, spans: list, held: list) -> pa.RecordBatch:
+    merged = [[dict(zip(("first", "last", "first_byte", "last_byte"), s, strict=True)) for s in _merged(x)] for x in spans]
+    columns = [pa.array(n_words, pa.int64()), pa.array(merged, pa.list_(_SPAN)), pa.array([sorted(x - {None}) for x in held], pa.list_(pa.string()))]
+    return pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *columns], names=[*names, "n_words", "spans", "item_ids"])
+
+
+_STRETCH = "k1 long, k2 long, base int, words string, start array<int>, end array<int>, anchors array<long>"
+
+
+def _item_parts(items: DataFrame, window: int, part_words: int) -> DataFrame:
+    """``(name, words, n, anchors, sieve)``: items cut into parts that share ``window`` - 1 words, so each window of an item
+    lies in some part; ``n`` is the length of their windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for name, text in zip(batch.column("name").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                w = tb.words_of(*tb.column_bytes(pa.array([text], pa.large_string())))
+                words = [w.text(k) for k in range(len(w.start))]
+                n = min(len(words), window)
+                for a in range(0, max(len(words) - window + 1, 1) if words else 0, part_words):
+                    h = w.hash[a : a + part_words + window - 1]
+                    out.append((name, " ".join(words[a : a + len(h)]), n, anchors(h, [n]).view(np.int64), h.view(np.int64)))
+            cols = list(zip(*out, strict=True)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.list_(pa.int64())), pa.array(cols[4], pa.list_(pa.int64()))], names=["name", "words", "n", "anchors", "hashes"])
+
+    return items.mapInArrow(run, "name string, words string, n int, anchors array<long>, hashes array<long>")
+
+
+def _bitmap(parts: DataFrame, size: int, least: int) -> np.ndarray:
+    """Bits of the sieve hashes of all items, ``2 ** size`` of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.empty(0, tb.U64)]
+            for x in batch.column("hashes").to_pylist():
+                h = np.array(x, np.int64).view(tb.U64)
+                found.append(h if least == 1 else _pairs(h) if len(h) > 1 else h[:0])
+            place = np.unique(np.concatenate(found) >> tb.U64(64 - size))
+            slot, begin = np.unique(place >> tb.U64(6), return_index=True)
+            bits = np.bitwise_or.reduceat(tb.U64(1) << (place & tb.U64(63)), begin) if len(place) else place
+            yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int64)), pa.array(bits.view(np.int64))], names=["slot", "bits"])
+
+    rows = parts.select("hashes").mapInArrow(run, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << (size - 6), tb.U64)
+    out[rows["slot"].to_numpy()] = rows["bits"].to_numpy().view(tb.U64)
+    return out
+
+
+def _stretch_rows(docs: DataFrame, bits: np.ndarray, size: int, least: int, lengths: list[int]) -> DataFrame:
+    """Stretches of ``docs(k1, k2, text)`` that the bitmap lets through, with their words, places and anchors."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    ints = pa.list_(pa.int32())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sieve = _Filter.of_bitmap(shared.value, size, least)
+        for whole in batches:
+            for batch, data, offsets in tb.slices(whole):
+                w = tb.words_of(data, offsets)
+                first, last = sieve.stretches(w)
+                rows = np.searchsorted(w.bounds, first, "right") - 1
+                out = []
+                for row, a, b in zip(rows.tolist(), first.tolist(), last.tolist(), strict=True):
+                    words = " ".join(w.text(k) for k in range(a, b))
+                    out.append((a - int(w.bounds[row]), words, (w.start[a:b] - offsets[row]).tolist(), (w.end[a:b] - offsets[row]).tolist(), anchors(w.hash[a:b], lengths).view(np.int64)))
+                cols = list(zip(*out, strict=True)) or [()] * 5
+                keys = [batch.column(c).take(pa.array(rows, pa.int64())) for c in ("k1", "k2")]
+                yield pa.RecordBatch.from_arrays([*keys, pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.string()), pa.array(cols[2], ints), pa.array(cols[3], ints), pa.array(cols[4], pa.list_(pa.int64()))], names=["k1", "k2", "base", "words", "start", "end", "anchors"])
+
+    return map_texts(docs, run, _STRETCH)
+
+
+def _solved(rows: DataFrame, window: int) -> DataFrame:
+    """``(k1, k2, spans, names)`` of stretches. ``rows`` are sorted by task; the items of a task come before its stretches,
+    so a worker holds one automaton at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, known, automaton = None, [], None
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                if r["task"] != task:
+                    task, known, automaton = r["task"], [], None
+                if r["base"] is None:
+                    known.append((r["name"], r["words"].split(" ")))
+                    continue
+                automaton = automaton or SuffixAutomaton(known, window)
+                spans, held = _spans_of(automaton, r["words"].split(" "), r["base"], r["start"], r["end"])
+                if spans:
+                    out.append((r["k1"], r["k2"], [dict(zip(("first", "last", "first_byte", "last_byte"), s, strict=True)) for s in spans], sorted(held - {None})))
+            cols = list(zip(*out, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(_SPAN)), pa.array(cols[3], pa.list_(pa.string()))], names=["k1", "k2", "spans", "names"])
+
+    return rows.mapInArrow(run, "k1 long, k2 long, spans array<struct<first:int,last:int,first_byte:int,last_byte:int>>, names array<string>")
+
+
+def _with_dealt_automata(docs: DataFrame, items: DataFrame, window: int, shard_words: int, n_words: int, task_bytes: int = 1 << 25) -> DataFrame:
+    """For items of any number of words.
+
+    Items are dealt into shards by hash. Stretches of documents pass a bitmap of bounded size and go to the shards that
+    hold one of their anchors, those of a crowded shard to several tasks; each task builds the automaton of its shard.
+    Texts are known by 128 bits of hash, and only those with hits are joined to their documents."""
+    parts = stored(_item_parts(items, window, max(window, shard_words // 4)), "item-parts")
+    lengths = sorted(r["n"] for r in parts.select("n").distinct().collect())
+    if not lengths:
+        return _with_one_automaton(docs, items, window)
+    size = min(28, max(20, math.ceil(math.log2(16 * n_words))))
+    shard = F.pmod(F.xxhash64("name", "words"), F.lit(-(-n_words // shard_words))).alias("shard")
+    k1, k2, spans = (fresh(docs.columns, c) for c in ("k1", "k2", "spans"))
+    keyed = docs.withColumns({k1: F.xxhash64("text"), k2: F.xxhash64("text", F.lit(1))})
+    rows = _stretch_rows(keyed.select(F.col(k1).alias("k1"), F.col(k2).alias("k2"), "text"), _bitmap(parts, size, lengths[0]), size, lengths[0], lengths)
+    stretches = stored(rows.dropDuplicates(["k1", "k2", "base"]), "stretches")
+    routes = stored(parts.select(shard, F.explode("anchors").alias("anchor")).distinct(), "routes")
+    wanted = stored(stretches.select("k1", "k2", "base", F.explode("anchors").alias("anchor")).join(routes, "anchor").select("k1", "k2", "base", "shard").distinct(), "routed")
+    routed = stored(stretches.drop("anchors").join(wanted, ["k1", "k2", "base"]), "routed-stretches")
+    splits = stored(routed.groupBy("shard").agg(F.ceil(F.sum(F.length("words") * 4) / task_bytes).cast("int").alias("splits")), "splits")
+    held = parts.select(shard, "name", F.col("words")).join(splits, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
+    task = F.xxhash64("shard", "salt").alias("task")
+    none = lambda kind: F.lit(None).cast(kind)
+    held = held.select(task, none("long").alias("k1"), none("long").alias("k2"), none("int").alias("base"), "words", none("array<int>").alias("start"), none("array<int>").alias("end"), "name")
+    queue = routed.join(splits, "shard").withColumn("salt", F.pmod(F.xxhash64("k1", "base"), F.col("splits")).cast("int"))
+    queue = queue.select(task, "k1", "k2", "base", "words", "start", "end", none("string").alias("name"))
+    found = _solved(held.unionByName(queue).repartition("task").sortWithinPartitions("task", F.col("base").asc_nulls_first()), window)
+    hits = stored(found.groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("names")).alias("names")), "hits")
+    held_names = fresh(docs.columns, "names")
+    hits = hits.withColumnsRenamed({"k1": k1, "k2": k2, "spans": spans, "names": held_names})
+    may = fresh(keyed.columns, "may")
+    marked = maybe_marked(keyed, hits, k1, may)
+    empty = {c: none(hits.schema[c].dataType.simpleString()) for c in (spans, held_names)}
+    each = marked.filter(~F.col(may)).withColumns(empty).unionByName(marked.filter(may).join(hits.hint("shuffle_hash"), [k1, k2], "left"))
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch, data, offsets in tb.slices(whole):
+                n = np.diff(tb.words_of(data, offsets).bounds)
+                found = [[tuple(s.values()) for s in x or ()] for x in batch.column(spans).to_pylist()]
+                yield _reported(batch, names, n, found, [set(x or ()) for x in batch.column(held_names).to_pylist()])
+
+    return map_texts(each.select(*names, spans, held_names), run, f"{_fields(docs)}, {SPANS}")
+
+
+def match_spans(docs: DataFrame, items: DataFrame, window: int = 10, shard_words: int = 200_000, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """All columns of ``docs`` and, for each row, ``n_words``, the hit ``spans`` (word and byte bounds) and ``item_ids``.
+
+    Columns of ``docs`` that bear one of these three names are replaced.
+    """
+    docs = docs.drop("n_words", "spans", "item_ids")
+    items = items.select(F.col(item_id).cast("string").alias("name"), F.col(item_text).alias("text")).distinct()
+    n_words = items.agg(F.sum(F.regexp_count("text", F.lit(WORD)))).first()[0] or 0
+    if n_words <= shard_words:
+        return _with_one_automaton(docs, items, window)
+    return _with_dealt_automata(docs, items, window, shard_words, n_words)
 
 
 def hit_words(spans: str = "spans") -> F.Column:

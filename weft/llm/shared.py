@@ -61,18 +61,26 @@ def drop_stored(spark: SparkSession, *frames: DataFrame) -> None:
                 folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def maybe_in(df: DataFrame, keys: DataFrame, column: str, bits: int = 24) -> DataFrame:
-    """Rows of ``df`` whose ``column`` may be among those of ``keys``: all that are, and by chance some others.
+def maybe_marked(df: DataFrame, keys: DataFrame, column: str, name: str, bits: int = 24) -> DataFrame:
+    """``df`` with a boolean ``name``: true where ``column`` is among those of ``keys``, and by chance elsewhere.
 
     A bitmap of ``2 ** bits`` hashed keys is made by aggregation and joined by broadcast. It has at most
-    ``2 ** (bits - 6)`` rows of 16 bytes whatever the size of either side; when it fills up, more rows pass, none is
-    lost. It keeps rows that can't match out of the shuffle of a following join.
+    ``2 ** (bits - 6)`` rows of 16 bytes whatever the size of either side; when it fills up, more rows are marked.
     """
     place = F.shiftrightunsigned(F.xxhash64(column), 64 - bits)
     slot, bit = F.shiftrightunsigned(place, 6), place.bitwiseAND(F.lit(63)).cast("int")
     bitmap = keys.select(slot.alias("_slot"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("_bit")).groupBy("_slot").agg(F.bit_or("_bit").alias("_bits"))
-    joined = df.withColumns({"_slot": slot, "_bit": bit}).join(F.broadcast(bitmap), "_slot")
-    return joined.filter(F.call_function("shiftrightunsigned", "_bits", "_bit").bitwiseAND(F.lit(1)) == 1).select(*df.columns)
+    at, held = fresh([*df.columns, name], "slot"), fresh([*df.columns, name], "bits")
+    joined = df.withColumn(at, slot).join(F.broadcast(bitmap.select(F.col("_slot").alias(at), F.col("_bits").alias(held))), at, "left")
+    found = F.coalesce(F.call_function("shiftrightunsigned", held, bit).bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    return joined.select(*df.columns, found.alias(name))
+
+
+def maybe_in(df: DataFrame, keys: DataFrame, column: str, bits: int = 24) -> DataFrame:
+    """Rows of ``df`` whose ``column`` may be among those of ``keys``: all that are, and by chance some others. It keeps
+    rows that can't match out of the shuffle of a following join."""
+    name = fresh(df.columns, "may")
+    return maybe_marked(df, keys, column, name, bits).filter(name).select(*df.columns)
 
 
 def fresh(columns: list[str], name: str) -> str:
