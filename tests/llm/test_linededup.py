@@ -176,3 +176,15 @@ def test_texts_that_share_an_id(spark):
     docs = spark.createDataFrame([(1, "one line here"), (1, "one line here\nand another"), (1, "one line here"), (2, "and another\nnew")], SCHEMA)
     got = linededup.line_report(docs).collect()
     assert sum(r.n_removed for r in got if r.doc_id == 1) in (1, 2) and sum(r.n_removed for r in got if r.doc_id == 2) == 1
+
+
+def test_rows_of_shared_keys():
+    rng = np.random.default_rng(7)
+    for _ in range(20):
+        key, line = rng.integers(0, 60, 150), rng.integers(0, 4, 150)
+        found, got = linededup._Sharers(), set()
+        for a in range(0, 150, 40):
+            got |= set(zip(*(x.tolist() for x in found.add(key[a : a + 40], line[a : a + 40])), strict=True))
+            assert len(found.key) == len(set(key[: a + 40].tolist()))
+        lines = {k: set(line[key == k].tolist()) for k in key.tolist()}
+        assert got == {(k, x) for k, many in lines.items() if len(many) > 1 for x in many}

@@ -9,7 +9,7 @@ keys grow with their cube. Empty lines stay; ``min_bytes`` and ``classes`` can b
 Near copies: of two lines within t edits, cut into t + 1 even segments, the longer holds some segment of the shorter at
 nearly the same place (Li, Deng, Wang and Feng 2011). So each distinct line is indexed under its own segments, and
 probes the index of each length that is up to t shorter with the few substrings that the multi-match-aware windows
-leave. Keys are streamed in sorted order; only those that two lines share are kept. Lines that share a key are compared
+leave. Only keys that two lines share are kept. Lines that share a key are compared
 by length, by counts of their bytes, and by banded bit-parallel edit distance (Hyyrö 2003), many pairs at once. Keys of
 more than ``BLOCK`` lines are compared by pairs of blocks, so no task holds all of them; what leaves a task is the lines
 to remove, never pairs.
@@ -33,8 +33,8 @@ from weft.llm import textbytes as tb
 from weft.llm.repeats import identified
 from weft.llm.shared import fresh, map_texts, maybe_in, stored
 
-#: Lines of a key compared in one task, and pairs of lines given to one partition.
-BLOCK, PAIRS = 256, 1 << 20
+#: Lines of a key compared in one task, pairs of lines given to one partition, and keys of a line, about.
+BLOCK, PAIRS, KEYS = 256, 1 << 20, 32
 
 
 class Near(NamedTuple):
@@ -153,29 +153,57 @@ def _key_rows(docs: DataFrame, classes: list[Near]) -> DataFrame:
     return map_texts(docs.select("text"), run, "key long, line long")
 
 
-def _shared_keys(rows: DataFrame) -> DataFrame:
-    """Rows of keys that at least two lines have. One row is held between batches."""
+class _Sharers:
+    """Gathers ``(key, line)`` rows and gives back those of keys that several lines have. Of each key one row is held."""
+
+    def __init__(self) -> None:
+        self.key, self.line, self.shared = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
+
+    def add(self, key: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of ``key`` and ``line`` whose key has another line, and rows held so far whose key has one now."""
+        key, line = np.concatenate([self.key, key]), np.concatenate([self.line, line])
+        shared = np.concatenate([self.shared, np.zeros(len(line) - len(self.shared), bool)])
+        order = np.argsort(key)
+        same = key[order[1:]] == key[order[:-1]]
+        several = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+        at = order[several]
+        at = at[np.lexsort((~shared[at], line[at], key[at]))]
+        new = np.ones(len(at), bool)
+        new[1:] = (key[at[1:]] != key[at[:-1]]) | (line[at[1:]] != line[at[:-1]])
+        at = at[new]
+        begin = np.flatnonzero(np.concatenate([[True], key[at[1:]] != key[at[:-1]]])) if len(at) else at
+        count = np.diff(np.append(begin, len(at)))
+        known = np.logical_or.reduceat(shared[at], begin) if len(at) else np.empty(0, bool)
+        good = known | (count > 1)
+        out = at[np.repeat(good, count) & ~shared[at]]
+        alone = order[~several]
+        rest = at[begin]
+        self.key, self.line = np.concatenate([key[alone], key[rest]]), np.concatenate([line[alone], line[rest]])
+        self.shared = np.concatenate([shared[alone], good])
+        return key[out], line[out]
+
+
+def _shared_keys(rows: DataFrame, partitions: int, held: int = 1 << 21) -> DataFrame:
+    """Rows of keys that at least two lines have; a row may come twice. A task holds one row of each of its keys and
+    ``held`` others, so a key of any number of lines needs no more room."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, shared = np.empty((0, 2), np.int64), False
+        found, waiting, n = _Sharers(), [], 0
         for batch in batches:
-            x = np.concatenate([held, np.column_stack([batch.column(k).to_numpy() for k in range(2)])])
-            if not len(x):
-                continue
-            new = np.ones(len(x), bool)
-            new[1:] = (x[1:] != x[:-1]).any(1)
-            x = x[new]
-            before = np.concatenate([[shared], x[1:, 0] == x[:-1, 0]])
-            good = before.copy()
-            good[:-1] |= before[1:]
-            held, shared = x[-1:], bool(before[-1])
-            at = np.flatnonzero(good[:-1])
-            if len(at):
-                yield pa.RecordBatch.from_arrays([pa.array(x[at, 0]), pa.array(x[at, 1])], names=["key", "line"])
-        if len(held) and shared:
-            yield pa.RecordBatch.from_arrays([pa.array(held[:, 0]), pa.array(held[:, 1])], names=["key", "line"])
-
-    return rows.repartition(F.col("key")).sortWithinPartitions("key", "line").mapInArrow(run, "key long, line long")
+            waiting.append([batch.column(k).to_numpy() for k in range(2)])
+            n += batch.num_rows
+            if n >= held:
+                yield from flush(found, waiting)
+                waiting, n = [], 0
+        yield from flush(found, waiting)
+
+    def flush(found: _Sharers, waiting: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        if waiting:
+            key, line = found.add(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
+            if len(key):
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(line)], names=["key", "line"])
+
+    return rows.repartition(partitions, "key").mapInArrow(run, "key long, line long")
 
 
 def within_distance(symbols: np.ndarray, first: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray, distance: int, lanes: int = 8192, cells: int = 1 << 21) -> np.ndarray:
@@ -334,7 +362,8 @@ def _line_bytes(docs: DataFrame, members: DataFrame) -> DataFrame:
 
 def near_copies(docs: DataFrame, firsts: DataFrame, classes: list[Near]) -> DataFrame:
     """``(h1, h2)`` of distinct lines that are near copies of an earlier one. ``firsts``: (h1, h2, doc, tie, line)."""
-    keys = stored(_shared_keys(_key_rows(docs, classes)).hint("rebalance"), "line-keys")
+    partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + firsts.count() * KEYS // (1 << 22))
+    keys = stored(_shared_keys(_key_rows(docs, classes), partitions).hint("rebalance"), "line-keys")
     low = F.col("h1").bitwiseAND(F.lit(-2))
     wanted = keys.select(F.col("line").bitwiseAND(F.lit(-2)).alias("low")).distinct()
     members = stored(firsts.withColumn("low", low).join(wanted, "low").select("h1", "h2", "doc", "tie", "line").hint("rebalance"), "line-members")
