@@ -171,10 +171,10 @@ def test_rates_reach_zero(spark):
 def test_top_scores(spark):
     rng = np.random.default_rng(3)
     rows = [(k, [float(x) for x in rng.normal(size=8)]) for k in range(150)]
-    rows += [(200, rows[0][1]), (201, rows[0][1]), (300, None), (301, []), (302, [1.0, None] + [0.0] * 6), (303, [math.nan] * 8), (304, [math.inf] * 8), (None, rows[0][1]), (7, rows[7][1]), (306, [0.5, 0.5]), (320, [1.0, -1.0])]
+    rows += [(200, rows[0][1]), (201, rows[0][1]), (300, None), (301, []), (302, [1.0, None] + [0.0] * 6), (303, [math.nan] * 8), (304, [math.inf] * 8), (None, rows[0][1]), (7, rows[7][1]), (306, [0.5, 0.5]), (320, [1.0, -1.0]), (340, []), (341, []), (360, [900.0] * 3), (361, [2.0] * 3)]
     df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, score int")
     got = topk.top_scores(df, F.col("vec_id") % 20 == 0, k=5, sample_rows=40, query_block=3, row_block=16).collect()
-    ok = {(i, tuple(math.floor(64 * x) for x in v)) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)}
+    ok = {(i, tuple(math.floor(64 * x) for x in v)) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
     expected = []
     for i, v in ok:
         if i % 20 == 0:
@@ -188,8 +188,8 @@ def test_pivot_bounds_skip_far_candidates():
     rng = np.random.default_rng(1)
     x = np.floor(rng.normal(size=(400, 4)) * 3) + np.repeat(np.arange(4), 100)[:, None] * 100
     ids = np.arange(400)
-    pivots = topk.choose_pivots(x, 8)
-    q, v, s = topk.search(ids[:5], x[:5], ids, x, pivots, 3, np.full(5, -np.inf), step=32)
+    table = topk._distances(x, topk.choose_pivots(x, 8)).astype(np.float32)
+    q, v, s = topk.search(ids[:5], x[:5], table[:5], np.full(5, -np.inf), ids, x, table, 3, step=32)
     for k in range(5):
         score = x @ x[k]
         score[k] = -np.inf
