@@ -263,7 +263,7 @@ def _shard_rows(parts: DataFrame, length: int) -> DataFrame:
     return parts.mapInArrow(run, ", ".join(f"{x} long" for x in names))
 
 
-def repeated_starts(docs: DataFrame, length: int = 100, gram: int = 20, shard_bytes: int = 1 << 20, hot_bytes: int = 1 << 23) -> DataFrame:
+def repeated_starts(docs: DataFrame, length: int = 100, gram: int = 20, shard_bytes: int = 1 << 19, hot_bytes: int = 1 << 23) -> DataFrame:
     """Ranges ``(doc, tie, a, b)`` of starts (from a, below b) whose ``length`` bytes also start earlier."""
     if not 1 <= gram <= length <= 1 << 17:
         raise ValueError("gram must be from 1 to length, and length at most 131072")
@@ -284,7 +284,7 @@ def repeated_starts(docs: DataFrame, length: int = 100, gram: int = 20, shard_by
         parts = parts.withColumn("shard", F.when(F.col("splits").isNull(), shard).otherwise(-1 - F.pmod(F.xxhash64("key", salt), F.lit(1 << 40)))).withColumn("split", F.col("splits").isNotNull())
     else:
         parts = parts.withColumn("shard", shard).withColumn("split", F.lit(False))
-    parts = parts.select("shard", "split", "doc", "tie", "a", "b", "bytes").repartition("shard").sortWithinPartitions("shard")
+    parts = parts.select("shard", "split", "doc", "tie", "a", "b", "bytes").repartition(max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(shards, 10_000)), "shard").sortWithinPartitions("shard")
     solved = _shard_rows(parts, length)
     if any_hot:
         solved = stored(solved, "shards")

@@ -41,39 +41,47 @@ def _induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, sizes: np.ndarr
 
 
 def _by_suffix(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    ends = np.cumsum(sizes)
-    symbols, larger, sa = t.tolist(), (~small).tolist(), [-1] * len(t)
-    tails = ends.tolist()
-    for k in reversed(seeds.tolist()):
-        tails[symbols[k]] -= 1
-        sa[tails[symbols[k]]] = k
-    sa[0] = len(t) - 1
+    n, ends = len(t), np.cumsum(sizes)
+    # the symbol of the suffix one to the left, if it is larger (or smaller) than this one; free places, -1, read the end
+    up, down = np.full(n + 1, -1, np.int64), np.full(n + 1, -1, np.int64)
+    np.copyto(up[1:n], t[:-1], where=~small[:-1])
+    np.copyto(down[1:n], t[:-1], where=small[:-1])
+    up, down = up.tolist(), down.tolist()
+    sa = _seeded(t, seeds, sizes, ends).tolist()
+    sa[0] = n - 1
     heads = (ends - sizes).tolist()
     for k in sa:
-        if k > 0 and larger[k - 1]:
-            c = symbols[k - 1]
-            sa[heads[c]] = k - 1
-            heads[c] += 1
+        c = up[k]
+        if c >= 0:
+            h = heads[c]
+            sa[h] = k - 1
+            heads[c] = h + 1
     tails = ends.tolist()
-    for at in range(len(sa) - 1, -1, -1):
-        k = sa[at]
-        if k > 0 and not larger[k - 1]:
-            c = symbols[k - 1]
-            tails[c] -= 1
-            sa[tails[c]] = k - 1
-    sa[0] = len(t) - 1
+    for k in reversed(sa):
+        c = down[k]
+        if c >= 0:
+            tails[c] = h = tails[c] - 1
+            sa[h] = k - 1
+    sa[0] = n - 1
     return np.array(sa, np.int64)
 
 
-def _by_waves(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    ends = np.cumsum(sizes)
-    starts = ends - sizes
+def _seeded(t: np.ndarray, seeds: np.ndarray, sizes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """An array with the seeds, in their order, at the ends of their buckets, and -1 elsewhere."""
     sa = np.full(len(t), -1, np.int64)
     symbols = t[seeds]
     seed_sizes = np.bincount(symbols, minlength=len(sizes))
     order = np.argsort(symbols, kind="stable")
-    sorted_ = symbols[order]
-    sa[ends[sorted_] - seed_sizes[sorted_] + np.arange(len(seeds)) - (np.cumsum(seed_sizes) - seed_sizes)[sorted_]] = seeds[order]
+    symbols = symbols[order]
+    sa[ends[symbols] - seed_sizes[symbols] + np.arange(len(seeds)) - (np.cumsum(seed_sizes) - seed_sizes)[symbols]] = seeds[order]
+    return sa
+
+
+def _by_waves(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    sa = _seeded(t, seeds, sizes, ends)
+    seed_sizes = np.bincount(t[seeds], minlength=len(sizes))
 
     def put(before: np.ndarray, want_small: bool, place: np.ndarray, down: bool) -> None:
         before = before[before > 0] - 1
@@ -111,6 +119,30 @@ def _by_waves(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, sizes: np.nda
     return sa
 
 
+def _by_symbols(t: np.ndarray, small: np.ndarray, places: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """For each leftmost-smaller substring the number of lesser ones, found by as many symbols at a time as a machine word
+    takes. Symbols come with their type, so no substring is a beginning of another."""
+    kind = 2 * t.astype(np.int64) + small + 1
+    bits = int(kind.max()).bit_length()
+    width = max(1, 62 // bits)
+    rank, todo, at = np.zeros(len(places), np.int64), np.arange(len(places)), 0
+    while len(todo):
+        packed = np.zeros(len(todo), np.int64)
+        for k in range(at, at + width):
+            packed = packed << bits | np.where(k < length[todo], kind[np.minimum(places[todo] + k, len(t) - 1)], 0)
+        order = np.lexsort((packed, rank[todo])) if at else np.argsort(packed, kind="stable")
+        group, packed = rank[todo[order]], packed[order]
+        other = np.concatenate([[True], group[1:] != group[:-1]])
+        first = np.flatnonzero(np.concatenate([[True], other[1:] | (packed[1:] != packed[:-1])]))
+        size = np.diff(np.append(first, len(order)))
+        begin = np.maximum.accumulate(np.where(other, np.arange(len(order)), 0))[first]
+        rank[todo[order]] = np.repeat(group[first] + first - begin, size)
+        at += width
+        todo = todo[order[np.repeat(size > 1, size)]]
+        todo = todo[length[todo] > at]
+    return rank
+
+
 def suffix_array(t: np.ndarray) -> np.ndarray:
     """The suffix array of ``t``, small non-negative integers of which the last is the unique least."""
     if len(t) < 3:
@@ -120,24 +152,35 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     marked = np.zeros(len(t), bool)
     marked[1:] = small[1:] & ~small[:-1]
     places = np.flatnonzero(marked)
+    length = np.diff(np.append(places, len(t) - 1)) + 1
+    if _most_waves(t) * WAVE_COST > len(t):
+        rank = _by_symbols(t, small, places, length)
+    else:
+        rank = _by_induction(t, small, places, length, marked, sizes)
+    unique = np.unique(rank, return_inverse=True)
+    ordered = places[np.argsort(rank, kind="stable")]
+    if len(unique[0]) < len(rank):
+        ordered = places[suffix_array(unique[1])]
+    return _induce(t, small, ordered, sizes)
+
+
+def _by_induction(t: np.ndarray, small: np.ndarray, places: np.ndarray, length: np.ndarray, marked: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The same ranks but for gaps, from an induced sort of the substrings."""
     sa = _induce(t, small, places, sizes)
     ordered = sa[marked[sa]]
-    length = np.zeros(len(t), np.int64)
-    length[places] = np.diff(np.append(places, len(t) - 1)) + 1
-    length[len(t) - 1] = 1
+    width = np.zeros(len(t), np.int64)
+    width[places] = length
     one, two = ordered[:-1], ordered[1:]
-    differ = length[one] != length[two]
+    differ = width[one] != width[two]
     open_, k = np.flatnonzero(~differ), 0
     while len(open_):
         unequal = t[one[open_] + k] != t[two[open_] + k]
         differ[open_[unequal]] = True
         open_, k = open_[~unequal], k + 1
-        open_ = open_[length[one[open_]] > k]
+        open_ = open_[width[one[open_]] > k]
     names = np.zeros(len(t), np.int64)
     names[ordered[1:]] = np.cumsum(differ)
-    if not differ.all():
-        ordered = places[suffix_array(names[places])]
-    return _induce(t, small, ordered, sizes)
+    return names[places]
 
 
 def permuted_lcp(data: np.ndarray, sa: np.ndarray) -> np.ndarray:
