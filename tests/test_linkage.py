@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
@@ -34,6 +35,70 @@ def test_common_terms_are_dropped_in_large_partitions_only(spark):
     assert blocking.document_frequency(postings, sizes, small=10).count() == 20
 
 
+def test_wide_partition_joins_few_rows(spark):
+    """Terms that all records of a partition hold aren't what pairs are found by, and every pair is found."""
+    rng = random.Random(3)
+    shared = [f"all{k}" for k in range(3)]
+    text = lambda: " ".join(shared + [f"w{rng.randint(0, 400)}" for _ in range(9)])
+    one, two = [(f"a{k}", text()) for k in range(300)], [(f"b{k}", text()) for k in range(300)]
+    two += [(f"c{k}", t if k % 2 else t.replace("all0 ", "")) for k, (_, t) in enumerate(one[:100])]
+    a, b = (spark.createDataFrame([("p", i, t) for i, t in rows], "part string, id string, addr_text string") for rows in (one, two))
+    got = {(r.a_id, r.b_id): r.sim for r in blocking.channel_scores(a, b, blocking.ADDRESS).collect()}
+    df = {}
+    for _, t in two:
+        for w in set(t.split()):
+            df[w] = df.get(w, 0) + 1
+
+    def vector(t):
+        raw = {w: (1 + math.log(t.split().count(w))) * (math.log((1 + len(two)) / (1 + df[w])) + 1) for w in set(t.split()) if w in df}
+        norm = math.sqrt(sum(x * x for x in raw.values()))
+        return {w: x / norm for w, x in raw.items()}
+
+    va, vb = ({i: vector(t) for i, t in rows} for rows in (one, two))
+    sims = {(i, j): round(sum(x * vb[j].get(w, 0) for w, x in va[i].items()), 6) for i in va for j in vb}
+    expected = {k: s for k, s in sims.items() if s > blocking.ADDRESS.threshold}
+    assert got.keys() == expected.keys() and all(abs(got[k] - s) < 2e-6 for k, s in expected.items()) and len(got) > 100
+    idf = blocking.document_frequency(blocking.terms(b, "addr_text", None), spark.createDataFrame([("p", len(two))], "part string, size long"))
+    wa, wb = (blocking.divided(blocking.weights(blocking.terms(x, "addr_text", None), idf), blocking.ADDRESS.threshold) for x in (a, b))
+    rows = lambda x, y: x.select("term").join(y.select("term"), "term").count()
+    assert rows(wa.filter("rare"), wb.filter("rare")) < 0.1 * rows(wa, wb)
+
+
+def test_group_threshold_search(spark):
+    rng = random.Random(8)
+    rows = [(f"a{rng.randint(0, 30)}", f"b{rng.randint(0, 40)}", rng.randint(0, 10) / 10, rng.randint(0, 2)) for _ in range(300)]
+    rows = list({(a, b): (a, b, p, g) for a, b, p, g in rows}.values())
+    truth = [(a, b) for a, b, p, _ in rows if rng.random() < p * 0.7]
+    people = [f"a{k}" for k in range(32)]
+    grid = [0.3, 0.5, 0.7, 0.9]
+
+    def score(limits, one_to_one):
+        kept = sorted(((-p, a, b) for a, b, p, g in rows if p >= limits[g]))
+        best = {}
+        for p, a, b in kept:
+            best.setdefault(b if one_to_one else (a, b), (a, b))
+        found, total = set(best.values()), 0.0
+        for a in people:
+            t, m = {b for x, b in truth if x == a}, {b for x, b in found if x == a}
+            hits = len(t & m)
+            total += 1.0 if not t and not m else 1.25 * (hits / len(m)) * (hits / len(t)) / (0.25 * hits / len(m) + hits / len(t)) if hits else 0.0
+        return total / len(people)
+
+    scored = spark.createDataFrame(rows, "a_id string, b_id string, p double, g int")
+    real, them = spark.createDataFrame(truth, "a_id string, b_id string"), spark.createDataFrame([(a,) for a in people], "a_id string")
+    for one_to_one in (True, False):
+        limits = dict.fromkeys((0, 1, 2), 0.5)
+        best = score(limits, one_to_one)
+        for _ in range(2):
+            for g in (0, 1, 2):
+                for value in grid:
+                    new = score(limits | {g: value}, one_to_one)
+                    if new > best + 1e-6:
+                        limits, best = limits | {g: value}, new
+        groups, found = decide.group_thresholds(scored, real, them, 0.5, one_to_one, grid)
+        assert groups == limits and found == pytest.approx(best)
+
+
 def record(i, name, address, state="TX", country="US"):
     return (i, name, address, country)
 
@@ -202,6 +267,16 @@ def test_whole_chain(spark, tmp_path):
     code, _ = validate.validate_files(spark, str(tmp_path / "out/matching_results.tsv"), str(tmp_path / "out/candidate_pairs.tsv"), paths["a"], [paths["b"]])
     assert code == 0
 
+    from weft.__main__ import main
+
+    given = ["--a", paths["a"], "--b", paths["b"]]
+    assert main(["features", "--work", str(tmp_path / "part"), *given, "--truth", paths["truth"], "--sample", "0.5", "--top-name", "2", "--country", "US"]) == 0
+    some, every = (files.read_parquet(spark, str(tmp_path / n)) for n in ("part/features-US", "work/features"))
+    assert 0 < some.select("a_id").distinct().count() < every.select("a_id").distinct().count()
+    assert main(["predict", "--work", str(tmp_path / "run"), "--model", str(tmp_path / "work"), *given, "--out", str(tmp_path / "first"), "--stage", "first", "--country", "US"]) == 0
+    assert files.read_lists(spark, str(tmp_path / "first/matching_results.tsv"), files.MATCHES).count() == len(a)
+    assert main(["validate", str(tmp_path / "first/matching_results.tsv"), str(tmp_path / "first/candidate_pairs.tsv"), "--required", paths["a"]]) == 0
+
     side = files.read_parquet(spark, str(tmp_path / "work/a"))
     arriving = spark.readStream.schema(schemas.RAW).csv(paths["b"], sep="\t", header=True, quote="")
     model, config = models.load(spark, str(tmp_path / "work/first"))

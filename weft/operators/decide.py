@@ -50,22 +50,40 @@ def macro_f_half(truth: DataFrame, matches: DataFrame, entities: DataFrame) -> D
     return entity_scores(truth, matches, entities).agg(F.avg("score").alias("macro_f05"))
 
 
-def threshold_sweep(scored: DataFrame, truth: DataFrame, entities: DataFrame, thresholds: list[float], one_to_one: bool = True) -> DataFrame:
-    """``(threshold, macro_f05)`` of every threshold in one job. The best pair of a B doesn't depend on a threshold that is
-    the same for all, so it is chosen once. Entities are counted, not repeated for each threshold."""
-    best = best_of_each(scored) if one_to_one else scored
-    grid = F.array(*map(F.lit, thresholds))
-    passed = best.select("a_id", "b_id", F.explode(F.filter(grid, lambda t: F.col("p") >= t)).alias("threshold"))
+def _macro_by(passed: DataFrame, truth: DataFrame, entities: DataFrame, key: str, values: DataFrame) -> DataFrame:
+    """``(key, macro_f05)`` for every row of ``values(key)``, of matches ``passed(a_id, b_id, key)``. Entities are counted,
+    not repeated for each value."""
     n_true = truth.groupBy("a_id").agg(F.count("*").alias("n_true"))
     hits = truth.select("a_id", "b_id").withColumn("hit", F.lit(1))
-    found = passed.join(entities, "a_id", "left_semi").join(hits, ["a_id", "b_id"], "left").groupBy("a_id", "threshold").agg(F.count("*").alias("n_pred"), F.count("hit").alias("tp"))
+    found = passed.join(entities, "a_id", "left_semi").join(hits, ["a_id", "b_id"], "left").groupBy("a_id", key).agg(F.count("*").alias("n_pred"), F.count("hit").alias("tp"))
     found = found.join(n_true, "a_id", "left").na.fill(0, ["n_true"])
     p, r = F.col("tp") / F.col("n_pred"), F.col("tp") / F.nullif(F.col("n_true"), F.lit(0))
-    by_threshold = found.groupBy("threshold").agg(F.sum(F.when(F.col("n_true") > 0, f_half(p, r)).otherwise(0.0)).alias("gained"), F.sum((F.col("n_true") == 0).cast("int")).alias("spoilt"))
+    by_value = found.groupBy(key).agg(F.sum(F.when(F.col("n_true") > 0, f_half(p, r)).otherwise(0.0)).alias("gained"), F.sum((F.col("n_true") == 0).cast("int")).alias("spoilt"))
     total, empty = entities.join(n_true, "a_id", "left").agg(F.count("*"), F.count_if(F.col("n_true").isNull())).first()
-    every = entities.sparkSession.createDataFrame([(t,) for t in thresholds], "threshold double")
-    counts = every.join(by_threshold, "threshold", "left").na.fill(0.0, ["gained"]).na.fill(0, ["spoilt"])
-    return counts.select("threshold", ((F.col("gained") + F.lit(float(empty)) - F.col("spoilt")) / F.lit(float(total))).alias("macro_f05"))
+    counts = values.join(by_value, key, "left").na.fill(0.0, ["gained"]).na.fill(0, ["spoilt"])
+    return counts.select(key, ((F.col("gained") + F.lit(float(empty)) - F.col("spoilt")) / F.nullif(F.lit(float(total)), F.lit(0.0))).alias("macro_f05"))
+
+
+def threshold_sweep(scored: DataFrame, truth: DataFrame, entities: DataFrame, thresholds: list[float], one_to_one: bool = True) -> DataFrame:
+    """``(threshold, macro_f05)`` of every threshold in one job. The best pair of a B doesn't depend on a threshold that is
+    the same for all, so it is chosen once."""
+    best = best_of_each(scored) if one_to_one else scored
+    grid = F.array(*map(F.lit, thresholds))
+    passed = best.select("a_id", "b_id", F.explode(F.filter(grid, lambda t: F.col("p") >= t)).alias("threshold"))
+    return _macro_by(passed, truth, entities, "threshold", entities.sparkSession.createDataFrame([(t,) for t in thresholds], "threshold double"))
+
+
+def trial_scores(scored: DataFrame, truth: DataFrame, entities: DataFrame, start: float, trials: list[dict[int, float]], one_to_one: bool = True) -> list[float]:
+    """The score of each of several sets of group thresholds, all in one job: a pair is repeated for the trials it passes."""
+    limit = F.coalesce(F.col("g"), F.lit(0)) + 1
+    rows = F.array(*(F.array(*(F.lit(float(t.get(g, start))) for g in range(8))) for t in trials))
+    passing = F.filter(F.sequence(F.lit(1), F.lit(len(trials))), lambda k: F.col("p") >= F.element_at(F.element_at(rows, k), limit.cast("int")))
+    passed = scored.select("a_id", "b_id", "p", F.explode(passing).alias("trial"))
+    if one_to_one:
+        rank = F.row_number().over(Window.partitionBy("trial", "b_id").orderBy(F.desc("p"), "a_id"))
+        passed = passed.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    values = entities.sparkSession.range(1, len(trials) + 1).select(F.col("id").cast("int").alias("trial"))
+    return [r.macro_f05 or 0.0 for r in _macro_by(passed, truth, entities, "trial", values).orderBy("trial").collect()]
 
 
 def best_threshold(scored: DataFrame, truth: DataFrame, entities: DataFrame) -> tuple[float, bool, float]:
@@ -83,18 +101,17 @@ def best_threshold(scored: DataFrame, truth: DataFrame, entities: DataFrame) ->
 
 
 def group_thresholds(scored: DataFrame, truth: DataFrame, entities: DataFrame, start: float, one_to_one: bool = True, grid: list[float] | None = None, passes: int = 2, least_gain: float = 1e-6) -> tuple[dict[int, float], float]:
-    """Coordinate search for a threshold of each group (at most 8) and the score it gives. ``scored`` should be stored."""
+    """Coordinate search for a threshold of each group (at most 8) and the score it gives. ``scored`` should be stored. All
+    values of a group are scored by one job, as only this group's threshold differs between them."""
     grid = grid or [round(0.30 + 0.05 * k, 2) for k in range(14)]
-    score = lambda g: macro_f_half(truth, decided(scored, start, one_to_one, g), entities).first()[0]
     groups = {r.g: start for r in scored.select("g").distinct().collect()}
-    best = score(groups)
+    best = trial_scores(scored, truth, entities, start, [groups], one_to_one)[0]
     for _ in range(passes):
         for g in sorted(groups):
-            for value in grid:
-                trial = groups | {g: value}
-                found = score(trial)
-                if found > best + least_gain:
-                    groups, best = trial, found
+            found = trial_scores(scored, truth, entities, start, [groups | {g: value} for value in grid], one_to_one)
+            for value, score in zip(grid, found, strict=True):
+                if score > best + least_gain:
+                    groups, best = groups | {g: value}, score
     return groups, best
 
 

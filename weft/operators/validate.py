@@ -111,6 +111,8 @@ def validate_files(spark: SparkSession, matches: str, candidates: str, required:
     for path, names in ((matches, files.MATCHES), (candidates, files.CANDIDATES)):
         try:
             wrong = header_issue(files.first_line(spark, path), names)
+            if not wrong and files.broken_encoding(spark, path):
+                wrong = "not UTF-8"
             broken = 0 if wrong else malformed_lines(files.lines(spark, path)).count()
         except Exception as problem:  # unreadable files end the check, not the program
             return 1, [*messages, f"error: {path}: {type(problem).__name__}"]

@@ -121,9 +121,12 @@ def case_sentinel(spark, d):
     return view(spark, d, "pairs").select("a_id", "b_id", F.when(F.col("addr_missing") == 1, -1.0).otherwise(F.col("a_tsr")).alias("a_tsr"))
 
 
-@query("select p_partkey, case p_type when 'TG' then 'AP' when 'DC' then 'WA' else p_type end as state from part")
+_STATE = "case p_size % 5 when 0 then 'TG' when 1 then 'DC' when 2 then 'AP' when 3 then 'TX' else p_type end"
+
+
+@query(f"select p_partkey, case state when 'TG' then 'AP' when 'DC' then 'WA' else state end as state from (select p_partkey, {_STATE} as state from part)")
 def value_replace(spark, d):
-    return table(spark, d, "part").select("p_partkey", text.block_state(F.col("p_type")).alias("state"))
+    return table(spark, d, "part").select("p_partkey", F.expr(_STATE).alias("state")).withColumn("state", text.block_state(F.col("state")))
 
 
 @query("select a_id, b_id, cast(case when house_rel = 1 then 0.6 when house_rel = -1 then 0.8 else 0.7 end as double) as limit_used from pairs", "pairs")
@@ -172,7 +175,7 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 @query("select distinct n_name as country from nation order by 1")
 def distinct_partitions(spark, d):
-    return table(spark, d, "nation").select(F.col("n_name").alias("country")).distinct().orderBy("country")
+    return spark.createDataFrame([(x,) for x in files.listed(table(spark, d, "nation"), "n_name")], "country string")
 
 
 # -- Joins and lists ---------------------------------------------------------------------------------------------------
@@ -251,15 +254,15 @@ def country_rollup(spark, d):
 
 _A = "over (partition by a_id)"
 _B = "over (partition by b_id)"
-_COMBO = "select *, round(greatest(least(n_tsr, 100), 0) / 2 + greatest(least(a_tsr, 100), 0) / 2, 4) as combo from pairs"
-_WINDOWED = "combo n_cands n_tsr_max n_tsr_rank n_tsr_gap a_tsr_max a_tsr_rank a_tsr_gap combo_max combo_gap n_hi_name n_hi_addr n_house_eq n_name_eq n_both_eq b_deg b_combo_max b_combo_gap b_name_eq_cnt b_house_eq_cnt twin_better".split()
+_COMBO = "select *, greatest(least(n_tsr, 100.0::double), 0.0::double) / 2 + greatest(least(a_tsr::double, 100.0::double), 0.0::double) / 2 as exact, round(greatest(least(n_tsr, 100), 0) / 2 + greatest(least(a_tsr, 100), 0) / 2, 4) as combo from pairs"
+_WINDOWED = "combo n_cands n_tsr_max n_tsr_rank n_tsr_gap a_tsr_max a_tsr_rank a_tsr_gap combo_max combo_gap n_hi_name n_hi_addr n_house_eq n_name_eq n_both_eq b_deg b_combo_max b_combo_gap combo_rank b_combo_rank b_name_eq_cnt b_house_eq_cnt twin_better".split()
 
 
 @query(
     f"""select a_id, b_id, round(combo, 4) as combo, count(*) {_A}::double as n_cands,
     round(max(n_tsr) {_A}, 4) as n_tsr_max, (rank() over (partition by a_id order by n_tsr desc))::double as n_tsr_rank, round(max(n_tsr) {_A} - n_tsr, 4) as n_tsr_gap,
     round(max(a_tsr) {_A}, 4) as a_tsr_max, (rank() over (partition by a_id order by a_tsr desc))::double as a_tsr_rank, round(max(a_tsr) {_A} - a_tsr, 4) as a_tsr_gap,
-    round(max(combo) {_A}, 4) as combo_max, round(max(combo) {_A} - combo, 4) as combo_gap,
+    round(max(combo) {_A}, 4) as combo_max, round(max(combo) {_A} - combo, 4) as combo_gap, (rank() over (partition by a_id order by exact desc))::double as combo_rank, (rank() over (partition by b_id order by exact desc))::double as b_combo_rank,
     (count(*) filter (n_tsr >= 90) {_A})::double as n_hi_name, (count(*) filter (a_tsr >= 90) {_A})::double as n_hi_addr,
     (count(*) filter (house_rel = 1) {_A})::double as n_house_eq, (count(*) filter (n_cmp_eq = 1) {_A})::double as n_name_eq, (count(*) filter (house_rel = 1 and n_cmp_eq = 1) {_A})::double as n_both_eq,
     count(*) {_B}::double as b_deg, round(max(combo) {_B}, 4) as b_combo_max, round(max(combo) {_B} - combo, 4) as b_combo_gap,
@@ -298,16 +301,24 @@ def keep_best(spark, d):
     return decide.best_of_each(view(spark, d, "pairs")).select("a_id", "b_id", "p")
 
 
-@query()
+_PLACE = "(cast('0x' || substr(md5(concat_ws('|', {0}, '7')), 1, 8) as bigint) / 4294967296.0)"
+
+
+@query(f"select * from lineitem where {_PLACE.format('l_orderkey, l_linenumber')} < 0.25 or l_returnflag = 'R'")
 def hash_sample(spark, d):
     return features.hash_sample(table(spark, d, "lineitem"), 0.25, 7, "l_orderkey", "l_linenumber", always=F.col("l_returnflag") == "R")
 
 
-@query()
+@query(f"select * from customer order by {_PLACE.format('c_custkey')}, c_custkey limit 50")
 def seeded_sample(spark, d):
     return features.sample_n(table(spark, d, "customer"), 50, 7, "c_custkey")
 
 
+@query(f"select a_id, case when x < 0.2 then 1 when x < 0.2 + 0.1 then 2 else 0 end as fold from (select a_id, {_PLACE.format('a_id')} as x from entities)", "entities")
+def entity_folds(spark, d):
+    return view(spark, d, "entities").withColumn("fold", models.fold())
+
+
 @query("select a_id, case when n = 1 then 0 else 1 end as several from (select a_id, count(*) as n from truth group by a_id) order by n desc, a_id limit 5", "truth")
 def first_examples(spark, d):
     counts = view(spark, d, "truth").groupBy("a_id").agg(F.count("*").alias("n"))
@@ -421,11 +432,6 @@ def block_union(spark, d):
     return blocking.candidate_pairs(view(spark, d, "side_a"), view(spark, d, "side_b"))
 
 
-@query()
-def approximate_blocking(spark, d):
-    return blocking.approximate_pairs(view(spark, d, "side_a"), view(spark, d, "side_b"), 0.4)
-
-
 # -- Similarity --------------------------------------------------------------------------------------------------------
 
 #: Longest common subsequence of the pairs of a CTE ``todo(x, y)``, a row of the table for each character of x.
@@ -476,11 +482,6 @@ def token_set_ratio(spark, d):
     return _compared(spark, d, ratio=similarity.token_set_ratio)
 
 
-@query()
-def partial_ratio(spark, d):
-    return _compared(spark, d, ratio=similarity.partial_ratio)
-
-
 @query("select name_a, name_b, round(jaro_winkler_similarity(name_a, name_b), 4) as jw from names", "names")
 def jaro_winkler(spark, d):
     return _compared(spark, d, jw=similarity.jaro_winkler)
@@ -496,12 +497,6 @@ def lcs_in_sql(spark, d):
     return view(spark, d, "names").select("name_a", "name_b", similarity.lcs_expression(F.col("name_a"), F.col("name_b")).cast("long").alias("n"))
 
 
-@query()
-def pair_features(spark, d):
-    pairs = blocking.candidate_pairs(view(spark, d, "side_a"), view(spark, d, "side_b"))
-    return features.pair_features(pairs, view(spark, d, "side_a"), view(spark, d, "side_b"))
-
-
 # -- Normalisation -----------------------------------------------------------------------------------------------------
 
 _TLD = f"\\.({'|'.join(tables.TLDS)})\\b"
@@ -552,18 +547,6 @@ def acronyms(spark, d):
     return table(spark, d, "customer").select("c_custkey", text.joined_acronyms(dotted).alias("words"))
 
 
-@query("select doc_id, 'latin' as script from documents")
-def script_of_text(spark, d):
-    return table(spark, d, "documents").select("doc_id", text.script_column(F.col("text")).alias("script"))
-
-
-@query()
-def normalised_records(spark, d):
-    raw = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    columns = [F.concat(F.lit("S1-"), "s_suppkey").alias("entity_id"), F.col("s_name").alias("business_name"), F.concat_ws(", ", F.concat("s_suppkey", F.lit(" Main Street")), "n_name", F.lit("TX")).alias("business_address"), F.lit("US").alias("country")]
-    return text.normalised(raw.select(*columns))
-
-
 @query(
     """, words as (select string_split(p_name, ' ') as native, string_split(lower(concat(p_brand, ' ', p_type)), ' ') as latin from part),
     sides as (select unnest(list_zip(native, latin)) as z from words where len(native) <= len(latin)),
@@ -641,6 +624,38 @@ def threshold_sweep(spark, d):
     return found.withColumn("macro_f05", F.round("macro_f05", 6))
 
 
+_EVERY = f"""every as (select k / 100.0::double as t, o from unnest(range(15, 101)) x(k), unnest([true, false]) y(o)),
+best as ({_BEST.format('pairs')}),
+passed as (select t, o, a_id, b_id from every join best on p >= t where k = 1 or not o),
+counted as (select t, o, x.a_id, count(*) as n, count(tr.b_id) as tp from passed x left join truth tr on x.a_id = tr.a_id and x.b_id = tr.b_id group by t, o, x.a_id),
+wanted as (select e.a_id, count(t.b_id) as n from entities e left join truth t using (a_id) group by e.a_id),
+macro as (select t.t, t.o, avg({_F05}) as score from (select every.t, every.o, w.a_id, w.n from every, wanted w) t left join counted m on t.t = m.t and t.o = m.o and t.a_id = m.a_id group by t.t, t.o),
+coarse as (select o, t from (select *, row_number() over (partition by o order by round(score, 9) desc, t) as k from macro where round(t * 100)::int % 5 = 0 and t >= 0.2 and t <= 0.95) where k = 1),
+fine as (select m.o, m.t, m.score, row_number() over (partition by m.o order by round(m.score, 9) desc, m.t) as k from macro m join coarse c on m.o = c.o where abs(m.t - c.t) < 0.0501)"""
+
+
+@query(f", {_EVERY} select t as threshold, o as one_to_one, round(score, 6) as macro_f05 from fine where k = 1 order by round(score, 9) desc, o desc limit 1", "pairs", "truth", "entities")
+def threshold_argmax(spark, d):
+    found = decide.best_threshold(view(spark, d, "pairs"), view(spark, d, "truth"), view(spark, d, "entities"))
+    return spark.createDataFrame([(found[0], found[1], round(found[2], 6))], "threshold double, one_to_one boolean, macro_f05 double")
+
+
+_TRIALS = [{0: 0.9, 2: 0.4, 6: 0.7}, {0: 0.3}, {1: 0.6, 3: 0.8, 4: 0.45}, {-1: 0.5}]
+
+
+def _trial_sql(number: int, trial: dict[int, float]) -> str:
+    limit = f"case g {' '.join(f'when {g} then {v}' for g, v in trial.items())} else 0.5 end"
+    matches = f"select a_id, b_id from (select *, row_number() over (partition by b_id order by p desc, a_id) as k from ({_GROUPED}) where p >= {limit}) where k = 1"
+    return f"select {number} as trial, round(avg(score), 6) as macro_f05 from ({_scores_sql(matches)})"
+
+
+@query("\nunion all\n".join(_trial_sql(k, t) for k, t in enumerate(_TRIALS, 1)), "pairs", "truth", "entities")
+def group_threshold_trials(spark, d):
+    """What the search for group thresholds compares, several sets of thresholds in one job."""
+    found = decide.trial_scores(_grouped(spark, d), view(spark, d, "truth"), view(spark, d, "entities"), 0.5, _TRIALS)
+    return spark.createDataFrame([(k, round(x, 6)) for k, x in enumerate(found, 1)], "trial int, macro_f05 double")
+
+
 @query(f"select s.country, round(avg(score), 6) as macro_f05 from ({_scores_sql(_MATCHED)}) x join side_a s on s.entity_id = x.a_id group by grouping sets ((s.country), ())", "pairs", "truth", "entities", "side_a")
 def country_scores(spark, d):
     matches = decide.decided(view(spark, d, "pairs"), 0.5).select("a_id", "b_id")
@@ -740,17 +755,4 @@ def feature_importance(spark, d):
     return spark.createDataFrame(list(models.importance(model).items()), "feature string, share double")
 
 
-@query()
-def entry_link(spark, d):
-    """Retrieval, comparison and one-to-one decision over suppliers and customers; a fixed score stands for a model."""
-    a, b = view(spark, d, "side_a"), view(spark, d, "side_b")
-    rows = features.pair_features(blocking.candidate_pairs(a, b), a, b)
-    p = (F.col("combo") / 100 + F.col("sim_addr")) / 2
-    return decide.decided(models.with_group(rows.withColumn("p", p)), 0.5).select("a_id", "b_id", F.round("p", 6).alias("p"), "g")
-
-
-@query()
-def linked_lists(spark, d):
-    return decide.match_lists(entry_link(spark, d), view(spark, d, "entities"))
-
-
+from weft import queries_pairs, queries_sources, queries_text  # noqa: E402, F401  they register their queries

@@ -22,8 +22,40 @@ def read_tsv(spark: SparkSession, path: str | list[str], schema: StructType = sc
 
 
 def write_tsv(df: DataFrame, path: str, single: bool = False, mode: str = "overwrite") -> None:
-    """Tab-separated text without quotes; empty strings are written as nothing. ``single`` makes one file with one header."""
-    (df.coalesce(1) if single else df).write.csv(path, sep="\t", header=True, quote="", emptyValue="", nullValue="", mode=mode)
+    """Tab-separated text without quotes; empty strings are written as nothing. ``single`` makes a folder of one file with
+    one header: all tasks write their part, then the parts' bytes are put together without passing through a task."""
+    out = df.write.option("sep", "\t").option("quote", "").option("emptyValue", "").option("nullValue", "").mode(mode)
+    if not single:
+        out.option("header", True).csv(path)
+        return
+    out.option("header", False).csv(f"{path.rstrip('/')}.parts")
+    _joined(df.sparkSession, f"{path.rstrip('/')}.parts", path, "\t".join(df.columns) + "\n")
+
+
+def _joined(spark: SparkSession, parts: str, path: str, header: str) -> None:
+    """The files of ``parts`` behind a header as one file in the folder ``path``, which is replaced; ``parts`` goes."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    source, target = jvm.org.apache.hadoop.fs.Path(parts), jvm.org.apache.hadoop.fs.Path(path)
+    fs = source.getFileSystem(conf)
+    fs.delete(target, True)
+    stream = fs.create(jvm.org.apache.hadoop.fs.Path(target, "part-00000.csv"))
+    try:
+        stream.write(bytearray(header.encode()))
+        for name in sorted(f.getPath().toString() for f in fs.listStatus(source) if f.getPath().getName().startswith("part-")):
+            part = fs.open(jvm.org.apache.hadoop.fs.Path(name))
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, stream, conf, False)
+            finally:
+                part.close()
+    finally:
+        stream.close()
+    fs.create(jvm.org.apache.hadoop.fs.Path(target, "_SUCCESS")).close()
+    fs.delete(source, True)
+
+
+def broken_encoding(spark: SparkSession, path: str) -> int:
+    """Number of lines of a text file that aren't valid UTF-8."""
+    return lines(spark, path).filter(~F.is_valid_utf8("value")).count()
 
 
 def read_truth(spark: SparkSession, path: str) -> DataFrame:
