@@ -289,7 +289,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, reca
     known = each.filter("n > 0 and doc_id is not null")
     nodes = known.groupBy("node").agg(F.min(F.struct("doc_id", "version")).alias("of"), F.count("*").alias("copies"), F.first("sketch").alias("sketch"))
     nodes = stored(nodes.select("node", F.col("of.doc_id").alias("least_id"), F.col("of.version").alias("version"), "copies", "sketch"), "nodes")
-    groups = stored(components(candidate_edges(nodes, threshold, recall, depth, limit, max_depth)), "groups")
+    groups = components(candidate_edges(nodes, threshold, recall, depth, limit, max_depth))
     large = stored(groups.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).filter("blocks > 1"), "large-groups")
     sized = groups.join(large, "component", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
@@ -302,10 +302,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, reca
         F.xxhash64("component", F.least("block", "other"), F.greatest("block", "other")).alias("task"), "node", "copies", "tokens", (F.col("block") > F.col("other")).cast("int").alias("side")
     )
     found = stored(_links(tasks.repartition("task").sortWithinPartitions("task"), Fraction(threshold).limit_denominator(1000)), "links")
-    classes = stored(components(found.filter("b is not null").select("a", "b")), "classes")
+    classes = components(found.filter("b is not null").select("a", "b"))
     counts = found.filter("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     first = F.min(F.struct(F.col("least_id").alias("class_id"), "node")).alias("first")
-    least = stored(classes.join(nodes.select("node", "least_id"), "node").groupBy("component").agg(first).select("component", "first.class_id", F.col("first.node").alias("first")), "class-ids")
+    least = classes.join(nodes.select("node", "least_id"), "node").groupBy("component").agg(first).select("component", "first.class_id", F.col("first.node").alias("first"))
     by_node = nodes.drop("sketch").join(classes.join(least, "component").drop("component"), "node", "left").join(counts, "node", "left")
     by_node = by_node.select("node", F.coalesce("class_id", "least_id").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.col("version").alias("shown"), F.col("least_id").alias("shown_id"), F.coalesce(F.col("first") == F.col("node"), F.lit(True)).alias("first"))
     chosen = (F.col("first") & (F.col("doc_id") == F.col("shown_id")) & (F.col("version") == F.col("shown"))).alias("chosen")

@@ -115,10 +115,9 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
         both = left.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
         least = both.select("a", order("b").alias("rank"), "b").groupBy("a").agg(F.min(F.struct("rank", "b")).alias("m"))
         own = F.struct(order("a").alias("rank"), F.col("a").alias("b"))
-        near = stored(least.select(F.col("a").alias("node"), F.least("m", own)["b"].alias("to")), "pointers")
+        near = least.select(F.col("a").alias("node"), F.least("m", own)["b"].alias("to"))
         after = near.select(F.col("node").alias("to"), F.col("to").alias("root"))
         pointer = stored(near.join(after, "to").select("node", F.col("root").alias("to")), "pointers")
-        drop_stored(edges.sparkSession, near)
         ends = lambda c, p=pointer: p.select(F.col("node").alias(c), F.col("to").alias(f"new_{c}"))
         moved = left.join(ends("a"), "a").join(ends("b"), "b").filter("new_a <> new_b")
         new = stored(moved.select(F.least("new_a", "new_b").alias("a"), F.greatest("new_a", "new_b").alias("b")).distinct(), "edges")
