@@ -33,7 +33,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.shared import fresh, stored
+from weft.llm.shared import bounded_rows, fresh, stored
 
 BUCKETS = 4096
 #: Characters that end a word, beside the space.
@@ -112,7 +112,7 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domains: list[str], max_fi
     calibrates."""
     place = F.xxhash64(F.col("doc_id").cast("string"))
     chosen = labelled.filter(F.col("doc_id").isNotNull() & F.col("domain").isin(domains)).distinct().orderBy(place, "domain").limit(max_fit_rows)
-    rows = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("domain", "text", (F.pmod(place, F.lit(5)) == 0).alias("apart")), "labelled")
+    rows = stored(bounded_rows(docs, chosen, max_fit_rows).select("domain", "text", (F.pmod(place, F.lit(5)) == 0).alias("apart")), "labelled")
     sizes = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     names = [d for d in domains if d in sizes]
     if not names:

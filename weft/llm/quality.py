@@ -1,19 +1,21 @@
 """Quality scores from random-indexing word vectors and a two-layer network.
 
 Each whitespace-separated token stands for two vocabulary entries: its bytes, and its shape (the collapsed sequence of
-character classes, apart if it repeats the token before). Entries are hashed into a table of fixed size. Every row of
-the table has a sparse random index vector; an entry's word vector is the sum of the index vectors of the tokens within
-two places of it, over all documents (Kanerva, Kristoferson and Holst 2000), brought to unit length. A document is the
+character classes, apart if it repeats the token before). The table of entries has a fixed size: the most frequent
+tokens, by counts over all documents, have rows of their own, and rarer ones share hashed rows, as shapes do. Every row
+has a sparse random index vector; an entry's word vector is the sum of the index vectors of the tokens within two places
+of it, over all documents (Kanerva, Kristoferson and Holst 2000), brought to unit length. A document is the
 mean and spread of its tokens' vectors, and its length. A network with one hidden layer, trained in numpy, scores it; a
 temperature fitted on rows apart calibrates the probabilities.
 
 The network is fitted on at most ``max_fit_rows`` labelled rows (documented bound, 20,000, chosen by hash of the id).
-Word vectors use all documents: each task sums its own table, so what is shuffled grows with the number of tasks, and
-the table that is fetched has a fixed number of rows.
+Counts and word vectors use all documents: each task sums its own table, so what is shuffled grows with the number of
+tasks, and the table that is fetched has a fixed number of rows.
 
 Defined results: null and empty texts have no tokens and get the score of the zero vector; rows keep their
-multiplicity; null labels, null ids and labels of unknown documents are ignored; without usable labels of both classes
-each score is the share of class 1 among them (0.5 if none).
+multiplicity; null labels, null ids and labels of unknown documents are ignored; of an id with several labels each
+teaches, as does each text of an id; without usable labels of both classes each score is the share of class 1 among them
+(0.5 if none).
 """
 
 from __future__ import annotations
@@ -30,8 +32,11 @@ from weft.llm import textbytes as tb
 from weft.llm.shared import crc32_of_id, drop_stored, map_texts, stored
 from weft.llm.toxicity import labelled_sample
 
-WORDS, SHAPES, DIM, NONZERO = 8192, 1024, 32, 2
-ROWS = WORDS + SHAPES
+#: Rows of frequent words, of other words, and of shapes.
+OWN, WORDS, SHAPES, DIM, NONZERO = 16384, 8192, 1024, 32, 2
+ROWS = OWN + WORDS + SHAPES
+#: How often a word stands in all documents, to be counted as frequent.
+LEAST_COUNT = 10
 _CLASS = np.arange(256, dtype=np.uint8)
 _CLASS[97:123] = _CLASS[128:] = 1
 _CLASS[65:91] = 2
@@ -44,11 +49,51 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return (h % tb.U64(DIM)).astype(np.int64), np.where(h >> tb.U64(63), 1.0, -1.0)
 
 
-def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Table rows of each token's bytes and shape, and the token bounds of each text."""
+def _token_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     start, end = tb.spans(data > 32, offsets)
+    return start, end, tb.RangeHash(data)(start, end)
+
+
+def frequent_words(docs: DataFrame, most: int = OWN, least_count: int = LEAST_COUNT) -> np.ndarray:
+    """Hashes of the most frequent tokens over all documents, ``most`` at most; ascending.
+
+    They are those above a count, which follows from how many tokens have each order of magnitude of count; so no task
+    sorts all tokens, and the driver gets a fixed number of rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for whole in batches:
+            for _, data, offsets in tb.slices(whole, most=1 << 20):
+                held.append(np.unique(_token_hashes(data, offsets)[2], return_counts=True))
+                n += len(held[-1][0])
+                if n > 1 << 20:
+                    yield summed(held)
+                    held, n = [], 0
+        if held:
+            yield summed(held)
+
+    def summed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        h, back = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
+        n = np.bincount(back, np.concatenate([x[1] for x in held])).astype(np.int64) if len(h) else np.empty(0, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
+
+    parts = map_texts(docs.select("text"), run, "h long, n long")
+    counts = stored(parts.groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_count).withColumn("size", F.floor(F.log2("n") * 16).cast("int")), "word-counts")
+    total, size = 0, None
+    for r in counts.groupBy("size").count().orderBy(F.desc("size")).collect():
+        total += r["count"]
+        if total > most:
+            break
+        size = r["size"]
+    if size is None:
+        return np.empty(0, tb.U64)
+    return np.sort(counts.filter(F.col("size") >= size).select("h").toArrow()["h"].to_numpy().view(tb.U64))
+
+
+def tokens(data: np.ndarray, offsets: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Table rows of each token's bytes and shape, and the token bounds of each text."""
+    start, end, h = _token_hashes(data, offsets)
     bounds = np.searchsorted(start, offsets)
-    h = tb.RangeHash(data)(start, end)
     kind = _CLASS[data]
     turn = np.ones(len(data), bool)
     turn[1:] = kind[1:] != kind[:-1]
@@ -59,24 +104,27 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     again[1:] = h[1:] == h[:-1]
     again[bounds[:-1][bounds[:-1] < len(h)]] = False
     shape = tb.mix(shape, 5) + again * tb.U64(1 << 60)
-    return (h % tb.U64(WORDS)).astype(np.int64), WORDS + (tb.mix(shape, 6) % tb.U64(SHAPES)).astype(np.int64), bounds
+    word = OWN + (h % tb.U64(WORDS)).astype(np.int64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
+        word = np.where(frequent[at] == h, at, word)
+    return word, OWN + WORDS + (tb.mix(shape, 6) % tb.U64(SHAPES)).astype(np.int64), bounds
 
 
-def add_contexts(table: np.ndarray, data: np.ndarray, offsets: np.ndarray, places: np.ndarray, signs: np.ndarray) -> None:
-    word, shape, bounds = tokens(data, offsets)
+def add_contexts(table: np.ndarray, data: np.ndarray, offsets: np.ndarray, places: np.ndarray, signs: np.ndarray, frequent: np.ndarray) -> None:
+    word, shape, bounds = tokens(data, offsets, frequent)
     row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     for step in (1, 2):
         left, right = np.arange(len(word) - step), np.arange(step, len(word))
         same = row[left] == row[right]
         left, right = left[same], right[same]
-        for own, other in ((left, right), (right, left)):
-            for k in range(NONZERO):
-                for entry in (word, shape):
-                    seen = entry[other]
-                    table += np.bincount(entry[own] * DIM + places[seen, k], signs[seen, k], ROWS * DIM)
+        for entry in (word, shape):
+            own, seen = np.concatenate([entry[left], entry[right]]), np.concatenate([entry[right], entry[left]])
+            cell = (own * DIM)[:, None] + places[seen]
+            table += np.bincount(cell.ravel(), signs[seen].ravel(), ROWS * DIM)
 
 
-def word_vectors(docs: DataFrame) -> np.ndarray:
+def word_vectors(docs: DataFrame, frequent: np.ndarray) -> np.ndarray:
     """The unit word vectors of all table rows, summed over every document."""
     names = [f"c{k}" for k in range(DIM)]
 
@@ -85,7 +133,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
         table, most = np.zeros(ROWS * DIM), 1 << 20
         for whole in batches:
             for _, data, offsets in tb.slices(whole, most=most):
-                add_contexts(table, data, offsets, places, signs)
+                add_contexts(table, data, offsets, places, signs, frequent)
         rows = table.reshape(ROWS, DIM)
         used = np.flatnonzero(rows.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(rows[used, k].astype(np.int64)) for k in range(DIM))], names=["row", *names])
@@ -97,9 +145,9 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     return (table / np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
-def pooled(data: np.ndarray, offsets: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+def pooled(data: np.ndarray, offsets: np.ndarray, vectors: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """Mean and spread of the vectors of each text's tokens, and its logarithmic length."""
-    word, shape, bounds = tokens(data, offsets)
+    word, shape, bounds = tokens(data, offsets, frequent)
     n = np.diff(bounds)
     out = np.zeros((len(n), 4 * DIM + 1), np.float32)
     full = np.flatnonzero(n)
@@ -156,14 +204,14 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self._raw(x) / self.temperature, -30, 30)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, held_out: Column, label: str = "quality", max_fit_rows: int = 20_000) -> Network:
+def fit(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, frequent: np.ndarray, held_out: Column, label: str = "quality", max_fit_rows: int = 20_000) -> Network:
     """A fifth of the sample (by hash of the id) calibrates, the rest trains."""
     sample = stored(labelled_sample(docs, labels, label, held_out, max_fit_rows), "quality-sample")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch, data, offsets in tb.slices(whole):
-                x = pooled(data, offsets, vectors).astype("<f4")
+                x = pooled(data, offsets, vectors, frequent).astype("<f4")
                 yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), batch.column("y"), batch.column("part")], names=["x", "y", "part"])
 
     rows = map_texts(sample, run, "x binary, y double, part int").toArrow()
@@ -181,14 +229,15 @@ def learnt_split() -> Column:
 
 def quality_scores(docs: DataFrame, labels: DataFrame, max_fit_rows: int = 20_000) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, score, predicted. Labels are learnt where crc32(doc_id) mod 3 is not 1."""
-    vectors = word_vectors(docs)
-    kept = pickle.dumps((vectors, fit(docs, labels, vectors, learnt_split(), max_fit_rows=max_fit_rows)))
+    frequent = frequent_words(docs)
+    vectors = word_vectors(docs, frequent)
+    kept = pickle.dumps((vectors, frequent, fit(docs, labels, vectors, frequent, learnt_split(), max_fit_rows=max_fit_rows)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors, network = pickle.loads(kept)
+        vectors, frequent, network = pickle.loads(kept)
         for whole in batches:
             for batch, data, offsets in tb.slices(whole):
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(network.score(pooled(data, offsets, vectors)))], names=["doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(network.score(pooled(data, offsets, vectors, frequent)))], names=["doc_id", "score"])
 
     scored = map_texts(docs.select("doc_id", "text"), run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
     return scored.select("doc_id", learnt_split().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

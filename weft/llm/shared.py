@@ -91,6 +91,16 @@ def fresh(columns: list[str], name: str) -> str:
     return name
 
 
+def bounded_rows(docs: DataFrame, chosen: DataFrame, most: int) -> DataFrame:
+    """``doc_id``, ``text`` and the other columns of ``chosen``, a table of at most ``most`` rows, for the documents whose ids
+    it holds: each text of an id once, and ``most`` rows at most, those of least hash, however often an id stands."""
+    rest = [c for c in chosen.columns if c != "doc_id"]
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("_version"))
+    wanted = keyed.select("doc_id", "_version").join(F.broadcast(chosen), "doc_id").distinct()
+    wanted = wanted.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "_version", *rest).limit(most)
+    return keyed.join(F.broadcast(wanted), ["doc_id", "_version"]).dropDuplicates(["doc_id", "_version", *rest]).select("doc_id", "text", *rest)
+
+
 def crc32_of_id(column: str = "doc_id") -> Column:
     """CRC-32 of an id written as text, the basis of every hold-out split."""
     return F.crc32(F.col(column).cast("string").cast("binary"))

@@ -8,8 +8,8 @@ The trees and the calibration are fitted on at most ``max_fit_rows`` labelled ro
 by hash of the id, and by it dealt out to the lexicon and to the trees with their calibration). Every document is scored.
 
 Defined results: null and empty texts have all features 0 and get the score of that point; rows keep their
-multiplicity; labels of unknown documents and null labels are ignored; without usable labels of both classes each
-score is the share of class 1 among them (0.5 if none).
+multiplicity; labels of unknown documents and null labels are ignored; of an id with several labels each teaches, as does
+each text of an id; without usable labels of both classes each score is the share of class 1 among them (0.5 if none).
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from weft.llm import textbytes as tb
 from weft.llm.boosting import BoostedTrees, Isotonic
-from weft.llm.shared import crc32_of_id, drop_stored, map_texts, stored
+from weft.llm.shared import bounded_rows, crc32_of_id, drop_stored, map_texts, stored
 
 # Common insults (English, French, German, Spanish) and second-person words.
 INSULTS = """
@@ -90,6 +90,10 @@ def features(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon) -> np.ndar
     inside[1:-1] = star[1:-1] & lower_[:-2] & lower_[2:] if len(data) > 2 else False
     same = np.zeros(len(data), bool)
     same[2:] = (data[2:] == data[1:-1]) & (data[2:] == data[:-2]) & (data[2:] != 32)
+    full = np.flatnonzero(np.diff(offsets))
+    first, last = offsets[full], offsets[full + 1] - 1
+    inside[first] = inside[last] = False
+    same[first] = same[np.minimum(first + 1, last)] = False
     n_words, n_bytes = np.maximum(np.diff(w.bounds), 1).astype(float), np.maximum(np.diff(offsets), 1).astype(float)
     insult_count = by_word(bad)
     return np.column_stack([
@@ -184,11 +188,12 @@ class Model:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, max_fit_rows: int) -> DataFrame:
-    """At most ``max_fit_rows`` labelled rows that aren't held out, as ``(text, y, part)``; part is 0 to 9 by hash."""
+    """At most ``max_fit_rows`` labelled rows that aren't held out, as ``(text, y, part)``; part is 0 to 9 by hash. Each text
+    of an id teaches once, with each label of the id."""
     order = F.xxhash64(F.col("doc_id").cast("string"))
-    known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("double").alias("y"))
+    known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("double").alias("y")).distinct()
     chosen = known.filter(~held_out).orderBy(order, "y").limit(max_fit_rows).select("doc_id", "y", F.pmod(order, F.lit(10)).cast("int").alias("part"))
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "y", "part")
+    return bounded_rows(docs, chosen, max_fit_rows).select("text", "y", "part")
 
 
 def fit(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxic", max_fit_rows: int = 20_000) -> Model:
