@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import chat, decontaminate, licenses, linededup, mixing, pathjoin, quality, repeats, topk, toxicity
+from weft.llm import chat, decontaminate, licenses, linededup, mixing, oracles, pathjoin, quality, repeats, topk, toxicity
+from weft.llm.shared import small_batches
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,21 +61,35 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def prepared(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``query`` in a session whose Arrow batches fit whole texts."""
+
+    @wraps(query)
+    def run(spark: SparkSession, *args) -> DataFrame:
+        small_batches(spark)
+        return query(spark, *args)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_license_scans": op1_license_scans,
-    "op2_line_dedup": op2_line_dedup,
-    "op3_source_mixing": op3_source_mixing,
-    "op4_toxicity": op4_toxicity,
-    "op5_chat_formatting": op5_chat_formatting,
-    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
-    "op7_suffix_array_dedup": op7_suffix_array_dedup,
-    "op8_exact_topk_search": op8_exact_topk_search,
-    "op9_quality_classifier": op9_quality_classifier,
-    "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op1_license_scans": prepared(op1_license_scans),
+    "op2_line_dedup": prepared(op2_line_dedup),
+    "op3_source_mixing": prepared(op3_source_mixing),
+    "op4_toxicity": prepared(op4_toxicity),
+    "op5_chat_formatting": prepared(op5_chat_formatting),
+    "op6_ngram_jaccard_join": prepared(op6_ngram_jaccard_join),
+    "op7_suffix_array_dedup": prepared(op7_suffix_array_dedup),
+    "op8_exact_topk_search": prepared(op8_exact_topk_search),
+    "op9_quality_classifier": prepared(op9_quality_classifier),
+    "op10_benchmark_decontamination": prepared(op10_benchmark_decontamination),
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_license_scans": licenses.oracle_sql(),
     "op5_chat_formatting": chat.ORACLE_SQL,
+    "op6_ngram_jaccard_join": oracles.JACCARD_JOIN,
+    "op7_suffix_array_dedup": oracles.REPEATS,
+    "op10_benchmark_decontamination": oracles.DECONTAMINATION,
     "op8_exact_topk_search": """
 with v as (
   select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as e

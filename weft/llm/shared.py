@@ -39,15 +39,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_texts(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
-    """``df.mapInArrow(run, schema)`` for rows that hold whole texts.
+def small_batches(spark: SparkSession) -> None:
+    """End the session's Arrow batches at 4 MB, where it has the default: 10,000 rows or 64 MB, held in the JVM and in the
+    Python worker each. For rows of whole texts; batches of narrow rows stay as long as before.
 
-    Spark ends a batch at 10,000 rows or 64 MB, held in the JVM and in the Python worker each. Where the session has
-    that default, batches are ended at 4 MB; batches of narrow rows stay as long as before.
-    """
-    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    if conf.get(name) == "67108864b":
-        conf.set(name, "4m")
+    Operators leave the session as it is. The registered queries and the stages of the pipeline call this."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":
+        spark.conf.set(name, "4m")
+
+
+def map_texts(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` for rows that hold whole texts; ``run`` goes through a batch by slices."""
     return df.mapInArrow(run, schema)
 
 
