@@ -7,23 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from weft.llm import decontaminate, linededup, mixing, pathjoin, shared, toxicity
+from weft.llm.queries import TARGETS, prepared
 
 
+@prepared
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go."""
     return toxicity.remove_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@prepared
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that stand earlier, or nearly so, are cut out."""
     return linededup.without_repeated_lines(docs)
 
 
+@prepared
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return pathjoin.one_of_each(docs)
 
 
+@prepared
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out; documents that are mostly benchmark text go."""
     return decontaminate.remove_spans(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -34,8 +39,6 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return mixing.mixed(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), TARGETS)
 
 
-#: Weights of the languages in tokens.
-TARGETS = {"en": 0.5, "fr": 0.2, "de": 0.2, "es": 0.1}
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", toxic_documents),
     ("line dedup", line_dedup),

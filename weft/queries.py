@@ -169,7 +169,10 @@ def _scratch(spark: SparkSession, name: str) -> str:
     import tempfile
     import uuid
 
-    folder = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    folder = folder or "file://" + tempfile.mkdtemp()
     return f"{folder.rstrip('/')}/{uuid.uuid4().hex}-{name}"
 
 
