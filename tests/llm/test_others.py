@@ -43,6 +43,18 @@ def test_license_scan(spark):
     assert licenses.scan(docs.limit(0), templates).collect() == [] and licenses.scan(docs, {}).collect() == []
 
 
+def test_bands_hold_for_the_fullest_window():
+    for templates in (licenses.TEMPLATES, {"one": "a b c d e f g h i j k l"}, {"x": "own", "y": "terms"}):
+        rows = licenses.template_rows(templates)
+        bands = licenses.bands_for(rows, 0.8)
+        for name, length, size, found in rows:
+            others = {s for n, m, k, x in rows if (m, k) == (length, size) for s in x}
+            shared = math.ceil(0.8 * len(found))
+            window = min(2 * length, len(others))
+            assert (1 - shared / (window + len(found) - shared)) ** bands <= licenses.MISS * 1.0001, name
+    assert 20 < licenses.bands_for(licenses.template_rows(licenses.TEMPLATES), 0.8) < 300
+
+
 def test_license_scan_reports_reserved_rights(spark):
     rows = [(1, "Text.\nAll rights reserved."), (2, "ALL RIGHTS RESERVED"), (3, "All rights are reserved."), (4, licenses.TEMPLATES["reserved"])]
     got = {(r.doc_id, r.template) for r in licenses.scan(spark.createDataFrame(rows, SCHEMA)).collect()}

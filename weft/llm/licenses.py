@@ -4,9 +4,11 @@ Templates are short license notices. Texts and templates become runs of ``SHINGL
 template), lower-cased. Templates are dealt by length into classes; for a class of templates of at most L words, a text
 is cut into windows of 2 L words at every L words, so each run of L words lies whole in some window. Windows keep only
 shingles that occur in templates of the class: others can't add to what they share with one, and windows without any are
-skipped. Each window and template is sketched by ``BANDS`` bands of ``ROWS`` minimum hashes; where a band agrees, the
-share of the template's shingles that the window holds is counted exactly, and ``containment`` or more of it is a match.
-At a Jaccard similarity of 0.4 the bands miss a pair with a chance of (1 - 0.16) ** 48, about 0.0002; at 0.8 of 1e-21.
+skipped. Each window and template is sketched by bands of one minimum hash; where a band agrees, the share of the
+template's shingles that the window holds is counted exactly, and ``containment`` or more of it is a match. The number of
+bands is such that a match is missed with a chance of ``MISS`` at most, however full of other notices its window is: it
+holds 2 L shingles at most, and no more than the class has, so its Jaccard similarity to a template of n shingles is at
+least ``containment`` * n / (that number + (1 - ``containment``) * n).
 
 Everything is made of SQL expressions, so it runs in the JVM. The templates are a fixed list, broadcast as literals.
 
@@ -17,13 +19,15 @@ from others by their text; other columns are not read.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SHINGLE, BANDS, ROWS = 5, 48, 2
+#: Words of a shingle, and the greatest chance of missing a match.
+SHINGLE, MISS = 5, 1e-6
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -82,10 +86,19 @@ def _known_shingles(size: int, known: list[str]) -> Column:
     return F.filter(shingles, lambda x: x["s"].isin(known))
 
 
-def _bands(hashes: Column) -> Column:
+def bands_for(rows: list[tuple[str, int, int, list[str]]], containment: float) -> int:
+    """The number of bands that misses no match of these templates with a chance above ``MISS``."""
+    held = defaultdict(set)
+    for _, length, size, found in rows:
+        held[length, size] |= set(found)
+    least = min(math.ceil(containment * len(x)) / (min(2 * length, len(held[length, size])) + len(x) - math.ceil(containment * len(x))) for _, length, size, x in rows)
+    return 1 if least >= 1 else max(1, math.ceil(math.log(MISS) / math.log(1 - least)))
+
+
+def _bands(hashes: Column, bands: int) -> Column:
     """The band hashes of a set of shingle hashes, each with the band's number."""
     least = lambda k: F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, F.lit(k))))
-    return F.array(*(F.xxhash64(F.lit(b), *(least(b * ROWS + r) for r in range(ROWS))) for b in range(BANDS)))
+    return F.array(*(F.xxhash64(F.lit(b), least(b)) for b in range(bands)))
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment: float = 0.8) -> DataFrame:
@@ -106,15 +119,16 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment:
     if hits is None:
         return docs.select("doc_id").limit(0).selectExpr("doc_id", "'' template", "0D containment", "0L window", "0L n_shared")
 
+    bands = bands_for(rows, containment)
     flat = [(name, length, size, s) for name, length, size, found in rows for s in found]
     shingles = spark.createDataFrame(flat, "template string, length int, size int, s string")
     classes = shingles.select("length", "size", "s").distinct()
     placed = hits.join(F.broadcast(classes), ["size", "s"]).select("doc_id", "h", "size", "length", "s", F.floor(F.col("k") / F.col("length")).alias("j"))
     windows = placed.select("doc_id", "h", "size", "length", "s", F.explode(F.when(F.col("j") > 0, F.array(F.col("j") - 1, "j")).otherwise(F.array("j"))).alias("j")).distinct()
     sets = windows.groupBy("doc_id", "h", "size", "length", "j").agg(F.collect_set("s").alias("found"))
-    banded = sets.withColumn("band", F.explode(_bands(F.transform("found", lambda s: F.xxhash64(s)))))
+    banded = sets.withColumn("band", F.explode(_bands(F.transform("found", lambda s: F.xxhash64(s)), bands)))
     library = shingles.groupBy("template", "length", "size").agg(F.collect_set("s").alias("wanted"))
-    library = library.withColumn("band", F.explode(_bands(F.transform("wanted", lambda s: F.xxhash64(s)))))
+    library = library.withColumn("band", F.explode(_bands(F.transform("wanted", lambda s: F.xxhash64(s)), bands)))
     pairs = banded.join(F.broadcast(library), ["length", "size", "band"])
     shared = F.size(F.array_intersect("found", "wanted"))
     checked = pairs.select("doc_id", "h", "template", (F.col("j") * F.col("length")).alias("window"), shared.cast("long").alias("n_shared"), (shared / F.size("wanted")).alias("containment"))
