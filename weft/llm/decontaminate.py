@@ -270,7 +270,7 @@ def _item_parts(items: DataFrame, window: int, part_words: int) -> DataFrame:
             cols = list(zip(*out, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.list_(pa.int64())), pa.array(cols[4], pa.list_(pa.int64()))], names=["name", "words", "n", "anchors", "hashes"])
 
-    return items.mapInArrow(run, "name string, words string, n int, anchors array<long>, hashes array<long>")
+    return map_texts(items, run, "name string, words string, n int, anchors array<long>, hashes array<long>")
 
 
 def _bitmap(parts: DataFrame, size: int, least: int) -> np.ndarray:
@@ -287,7 +287,7 @@ def _bitmap(parts: DataFrame, size: int, least: int) -> np.ndarray:
             bits = np.bitwise_or.reduceat(tb.U64(1) << (place & tb.U64(63)), begin) if len(place) else place
             yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int64)), pa.array(bits.view(np.int64))], names=["slot", "bits"])
 
-    rows = parts.select("hashes").mapInArrow(run, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    rows = map_texts(parts.select("hashes"), run, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(1 << (size - 6), tb.U64)
     out[rows["slot"].to_numpy()] = rows["bits"].to_numpy().view(tb.U64)
     return out
@@ -337,7 +337,7 @@ def _solved(rows: DataFrame, window: int) -> DataFrame:
             cols = list(zip(*out, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(_SPAN)), pa.array(cols[3], pa.list_(pa.string()))], names=["k1", "k2", "spans", "names"])
 
-    return rows.mapInArrow(run, "k1 long, k2 long, spans array<struct<first:int,last:int,first_byte:int,last_byte:int>>, names array<string>")
+    return map_texts(rows, run, "k1 long, k2 long, spans array<struct<first:int,last:int,first_byte:int,last_byte:int>>, names array<string>")
 
 
 def _with_dealt_automata(docs: DataFrame, items: DataFrame, window: int, shard_words: int, n_words: int, task_bytes: int = 1 << 25) -> DataFrame:

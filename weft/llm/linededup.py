@@ -183,7 +183,7 @@ class _Sharers:
         return key[out], line[out]
 
 
-def _shared_keys(rows: DataFrame, partitions: int, held: int = 1 << 21) -> DataFrame:
+def _shared_keys(rows: DataFrame, partitions: int, held: int = 1 << 20) -> DataFrame:
     """Rows of keys that at least two lines have; a row may come twice. A task holds one row of each of its keys and
     ``held`` others, so a key of any number of lines needs no more room."""
 
@@ -203,7 +203,7 @@ def _shared_keys(rows: DataFrame, partitions: int, held: int = 1 << 21) -> DataF
             if len(key):
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(line)], names=["key", "line"])
 
-    return rows.repartition(partitions, "key").mapInArrow(run, "key long, line long")
+    return map_texts(rows.repartition(partitions, "key"), run, "key long, line long")
 
 
 def within_distance(symbols: np.ndarray, first: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray, distance: int, lanes: int = 8192, cells: int = 1 << 21) -> np.ndarray:
@@ -335,7 +335,7 @@ def _later_copies(rows: DataFrame, classes: list[Near], held_rows: int = 1 << 14
         if held:
             yield from solve(pa.Table.from_batches(held))
 
-    return rows.mapInArrow(run, "h1 long, h2 long")
+    return map_texts(rows, run, "h1 long, h2 long")
 
 
 def _line_bytes(docs: DataFrame, members: DataFrame) -> DataFrame:
@@ -362,7 +362,7 @@ def _line_bytes(docs: DataFrame, members: DataFrame) -> DataFrame:
 
 def near_copies(docs: DataFrame, firsts: DataFrame, classes: list[Near]) -> DataFrame:
     """``(h1, h2)`` of distinct lines that are near copies of an earlier one. ``firsts``: (h1, h2, doc, tie, line)."""
-    partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + firsts.count() * KEYS // (1 << 22))
+    partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + firsts.count() * KEYS // (1 << 19))
     keys = stored(_shared_keys(_key_rows(docs, classes), partitions).hint("rebalance"), "line-keys")
     low = F.col("h1").bitwiseAND(F.lit(-2))
     wanted = keys.select(F.col("line").bitwiseAND(F.lit(-2)).alias("low")).distinct()

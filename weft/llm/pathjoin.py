@@ -114,7 +114,7 @@ def _leaves(nodes: DataFrame, depth: int, runs: int) -> DataFrame:
                 found = np.unique(np.column_stack([path.view(np.int64), row]), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(batch.column("node").to_numpy()[found[:, 1]])], names=["path", "node"])
 
-    return nodes.select("node", "sketch").mapInArrow(run, "path long, node long")
+    return map_texts(nodes.select("node", "sketch"), run, "path long, node long")
 
 
 def _children(rows: DataFrame) -> DataFrame:
@@ -125,7 +125,7 @@ def _children(rows: DataFrame) -> DataFrame:
                 path, row = _descend(batch.column("path").to_numpy().view(tb.U64), np.arange(len(sketch)), sketch)
                 yield pa.RecordBatch.from_arrays([_long(path), pa.array(batch.column("node").to_numpy()[row])], names=["path", "node"])
 
-    return rows.select("path", "node", "sketch").mapInArrow(run, "path long, node long")
+    return map_texts(rows.select("path", "node", "sketch"), run, "path long, node long")
 
 
 def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
@@ -177,7 +177,7 @@ def _bucket_edges(rows: DataFrame, least: float) -> DataFrame:
                 a, b = np.array(edges).T
                 yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
 
-    return rows.repartition("path").sortWithinPartitions("path").select("path", "node", "sketch").mapInArrow(run, "a long, b long")
+    return map_texts(rows.repartition("path").sortWithinPartitions("path").select("path", "node", "sketch"), run, "a long, b long")
 
 
 def candidate_edges(nodes: DataFrame, similarity: float, recall: float, depth: int, limit: int, max_depth: int) -> DataFrame:
@@ -259,7 +259,7 @@ def _links(parts: DataFrame, threshold: Fraction) -> DataFrame:
                 null = np.concatenate([np.ones(len(some), bool), np.zeros(edges.shape[1], bool)])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, node[edges[0]]])), pa.array(b, mask=null), pa.array(np.concatenate([links[some], np.zeros(edges.shape[1], np.int64)]))], names=names)
 
-    return parts.mapInArrow(run, "a long, b long, links long")
+    return map_texts(parts, run, "a long, b long, links long")
 
 
 def _token_rows(docs: DataFrame, size: int) -> DataFrame:
@@ -307,7 +307,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, reca
     first = F.min(F.struct(F.col("least_id").alias("class_id"), "node")).alias("first")
     least = classes.join(nodes.select("node", "least_id"), "node").groupBy("component").agg(first).select("component", "first.class_id", F.col("first.node").alias("first"))
     by_node = nodes.drop("sketch").join(classes.join(least, "component").drop("component"), "node", "left").join(counts, "node", "left")
-    by_node = by_node.select("node", F.coalesce("class_id", "least_id").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.col("version").alias("shown"), F.col("least_id").alias("shown_id"), F.coalesce(F.col("first") == F.col("node"), F.lit(True)).alias("first"))
+    links = (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+    first = F.coalesce(F.col("first") == F.col("node"), F.lit(True)).alias("first")
+    # stored, so that a node of very many copies can be split in the join with their rows
+    by_node = stored(by_node.select("node", F.coalesce("class_id", "least_id").alias("class_id"), links, F.col("version").alias("shown"), F.col("least_id").alias("shown_id"), first), "by-node")
     chosen = (F.col("first") & (F.col("doc_id") == F.col("shown_id")) & (F.col("version") == F.col("shown"))).alias("chosen")
     joined = known.select("doc_id", "version", "node").join(by_node, "node").select("doc_id", "class_id", "n_links", "version", "node", chosen)
     alone = each.filter("n = 0 or doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), "version", F.lit(None).cast("long").alias("node"), F.lit(True).alias("chosen"))

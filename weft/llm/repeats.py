@@ -187,7 +187,7 @@ def _first_pieces(rows: DataFrame) -> DataFrame:
             yield out(*(np.array([x]) for x in held))
 
     dealt = rows.repartition(F.col("key")).sortWithinPartitions("key", "content", "doc", "tie", "place")
-    return dealt.mapInArrow(run, ", ".join(f"{x} long" for x in names))
+    return map_texts(dealt, run, ", ".join(f"{x} long" for x in names))
 
 
 def _fetched(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -260,7 +260,7 @@ def _shard_rows(parts: DataFrame, length: int) -> DataFrame:
         if held:
             yield from solve(held)
 
-    return parts.mapInArrow(run, ", ".join(f"{x} long" for x in names))
+    return map_texts(parts, run, ", ".join(f"{x} long" for x in names))
 
 
 def repeated_starts(docs: DataFrame, length: int = 100, gram: int = 20, shard_bytes: int = 1 << 19, hot_bytes: int = 1 << 23) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -49,9 +52,22 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, "4m")
 
 
+def _give_back() -> None:
+    """Return memory that is free to the system: workers live on between stages, idle, beside those that run."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_texts(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
-    """``df.mapInArrow(run, schema)`` for rows that hold whole texts; ``run`` goes through a batch by slices."""
-    return df.mapInArrow(run, schema)
+    """``df.mapInArrow(run, schema)``, after which workers give back free memory. For whole texts, ``run`` goes through a
+    batch by slices."""
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _give_back()
+
+    return df.mapInArrow(tidy, schema)
 
 
 def drop_stored(spark: SparkSession, *frames: DataFrame) -> None:

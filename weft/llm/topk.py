@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weft.llm.shared import stored
+from weft.llm.shared import map_texts, stored
 
 
 def _packed(x: np.ndarray) -> bytes:
@@ -46,7 +46,7 @@ def integer_vectors(rows: DataFrame, id_column: str = "vec_id", column: str = "e
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), column.value_lengths(), pa.array(parts, pa.binary())], names=["vec_id", "dim", "v"])
 
     chosen = rows.filter(F.col(id_column).isNotNull() & F.col(column).isNotNull()).filter(finite)
-    return chosen.select(F.col(id_column).cast("long").alias("vec_id"), F.col(column).alias("e")).distinct().mapInArrow(run, "vec_id long, dim int, v binary")
+    return map_texts(chosen.select(F.col(id_column).cast("long").alias("vec_id"), F.col(column).alias("e")).distinct(), run, "vec_id long, dim int, v binary")
 
 
 def choose_pivots(sample: np.ndarray, n: int) -> np.ndarray:
@@ -150,7 +150,7 @@ def _pivot_table(vectors: DataFrame, by_dim: dict[int, tuple[np.ndarray, np.ndar
                 cell = d.argmin(1) if d.shape[1] else np.zeros(len(x), np.int64)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("vec_id", "dim", "v", "is_query")), pa.array([r.tobytes() for r in d], pa.binary()), pa.array(cell.astype(np.int32)), pa.array(floor)], names=["vec_id", "dim", "v", "is_query", "d", "cell", "floor"])
 
-    return vectors.mapInArrow(run, "vec_id long, dim int, v binary, is_query boolean, d binary, cell int, floor double")
+    return map_texts(vectors, run, "vec_id long, dim int, v binary, is_query boolean, d binary, cell int, floor double")
 
 
 def _blocks(table: DataFrame, name: str, size: int) -> DataFrame:
@@ -171,7 +171,7 @@ def _blocks(table: DataFrame, name: str, size: int) -> DataFrame:
     names = ["dim", name, f"{name}_ids", f"{name}_v", f"{name}_d", f"{name}_floors", f"{name}_low", f"{name}_high", f"{name}_norm", f"{name}_floor"]
     kinds = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.float64(), pa.float64()]
     sql = ["int", "long", "array<long>", "array<binary>", "array<binary>", "array<double>", "array<double>", "array<double>", "double", "double"]
-    return flat.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in zip(names, sql, strict=True)))
+    return map_texts(flat, run, ", ".join(f"{c} {t}" for c, t in zip(names, sql, strict=True)))
 
 
 def _meets(queries: DataFrame, rows: DataFrame) -> DataFrame:
@@ -210,6 +210,6 @@ def top_scores(rows: DataFrame, is_query: Column, k: int = 20, n_pivots: int = 3
                 query, vec, score = search(*parts[0], np.array(r["q_floors"]), *parts[1], k)
                 yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(vec), pa.array(score)], names=["query_id", "vec_id", "score"])
 
-    found = met.mapInArrow(run, "query_id long, vec_id long, score long").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    found = map_texts(met, run, "query_id long, vec_id long, score long").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.select("query_id", F.row_number().over(best).alias("rank"), "vec_id", "score").filter(F.col("rank") <= k)
