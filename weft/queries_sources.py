@@ -130,3 +130,23 @@ def model_settings(spark, d):
     files.write_json(spark, asdict(models.Config(0.55, True, 0.9, ["n_tsr", "a_tsr"], {2: 0.4, 6: 0.7})), path)
     found = models.config(files.read_json(spark, path))
     return spark.createDataFrame([(found.threshold, found.one_to_one, found.macro_f05, " ".join(sorted(found.features)), g, t) for g, t in found.groups.items()], "threshold double, one_to_one boolean, macro_f05 double, features string, g int, t double")
+
+
+@q.query("select c_name, c_acctbal, row_number() over (order by c_acctbal, c_custkey) - 1 as place from customer")
+def row_index(spark, d):
+    """Places of rows in a global order."""
+    found = files.with_row_index(q.table(spark, d, "customer"), "place", "c_acctbal", "c_custkey", path=q._scratch(spark, "indexed"))
+    return found.select("c_name", "c_acctbal", "place")
+
+
+@q.query("select o_orderkey, r.place from orders join (select c_custkey, row_number() over (order by c_acctbal, c_custkey) - 1 as place from customer) r on o_custkey = r.c_custkey")
+def row_index_lookup(spark, d):
+    """Places instead of keys in another table."""
+    found = files.with_row_index(q.table(spark, d, "customer"), "place", "c_acctbal", "c_custkey", path=q._scratch(spark, "indexed"))
+    return q.table(spark, d, "orders").join(found.select(F.col("c_custkey").alias("o_custkey"), "place"), "o_custkey").select("o_orderkey", "place")
+
+
+@q.query("select p.a_id, p.b_id, coalesce(a.country, '?') as country, coalesce(a.state, '?') as state from (select distinct a_id, b_id from pairs) p left join (select * from side_a where state <> 'NATION_3') a on a.entity_id = p.a_id", "pairs", "side_a")
+def partition_keys(spark, d):
+    pairs = q.view(spark, d, "pairs").select("a_id", "b_id").distinct()
+    return features.with_partition(pairs, q.view(spark, d, "side_a").filter("state <> 'NATION_3'"))

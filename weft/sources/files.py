@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -113,6 +113,19 @@ def stage(spark: SparkSession, path: str, make: Callable[[], DataFrame], *partit
     return spark.read.parquet(path)
 
 
+def with_row_index(df: DataFrame, name: str, *keys: str, path: str) -> DataFrame:
+    """``df``, stored at ``path``, with its rows' places from 0 in the order of ``keys``, which tell all rows apart.
+
+    For consumers of positions; nothing here joins on them. Rows are sorted over all tasks, and a task's first place is the
+    number of rows of the tasks before it, so no task sees all rows."""
+    ordered = df.orderBy(*keys).withColumns({"_task": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
+    write_parquet(ordered, path)
+    found = read_parquet(df.sparkSession, path)
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = found.groupBy("_task").agg(F.count("*").alias("n")).withColumn("_first", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    return found.join(F.broadcast(sizes.select("_task", "_first")), "_task").withColumn(name, F.col("_first") + F.col("_at")).drop("_task", "_at", "_first")
+
+
 def empty_pairs(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], schemas.PAIRS)
 
