@@ -31,6 +31,11 @@ _LATIN = {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "ł": "l", "đ": "d", "
 _MOJIBAKE = re.compile("(?:Â?|â)\x80[\x90-\x9f]|Â")
 _TLD = re.compile(rf"\.(?:{'|'.join(t.TLDS)})\b")
 _UNIT = re.compile(rf"(?:{'|'.join(map(re.escape, t.UNIT_PREFIXES))})(?![a-z])")
+_LEGAL, _MARKERS, _SKIPPED = (frozenset(x) for x in (t.LEGAL_TOKENS, t.NAME_MARKERS, t.ADDRESS_FILLERS + t.NULL_TOKENS))
+_NULLS, _US_CODES, _IN_CODES = frozenset(t.NULL_TOKENS), frozenset(t.US_STATES.values()), frozenset(t.IN_STATES.values())
+_NO_NUMBER = re.compile(r"^(?:no|n|nº|n°|#)\s*(?=\d)")
+_ORDINAL = re.compile(r"(\d+)(?:st|nd|rd|th)")
+_DIGIT = re.compile("[0-9]")
 _DOTTED = re.compile(r"\b(?:[a-z]\.){2,}[a-z]?")
 
 
@@ -105,8 +110,8 @@ class Normaliser:
         for sign, word in (("&", " and "), ("+", " plus "), ("@", " at "), ("'", ""), ("’", "")):
             text = text.replace(sign, word)
         words = [self._letters_for_digits(w) for w in re.sub("[^a-z0-9]+", " ", text).split()]
-        words = [w for w in words if w not in t.NAME_MARKERS]
-        core = [w for w in words if w not in t.LEGAL_TOKENS] or words
+        words = [w for w in words if w not in _MARKERS]
+        core = [w for w in words if w not in _LEGAL] or words
         return {"name_norm": " ".join(words), "name_core": " ".join(core), "name_compact": "".join(core), "name_script": script_of(raw), "name_domain": int(domain)}
 
     @staticmethod
@@ -122,35 +127,35 @@ class Normaliser:
         us, fr = not self.strict or country == "US", not self.strict or country == "France"
         found = [
             t.IN_STATES_NATIVE.get(raw.strip()),
-            code if us and not india and code in t.US_STATES.values() else None,
+            code if us and not india and code in _US_CODES else None,
             t.US_STATES.get(plain) if us else None,
             t.IN_STATES.get(plain) if india or not self.strict else None,
-            code if india and code in t.IN_STATES.values() else None,
+            code if india and code in _IN_CODES else None,
             t.FR_REGIONS.get(plain) if fr else None,
         ]
         return next(filter(None, found), "") if plain else ""
 
     def _token(self, token: str) -> str:
         token = token.strip("-/")
-        ordinal = re.fullmatch(r"(\d+)(?:st|nd|rd|th)", token)
+        ordinal = _ORDINAL.fullmatch(token)
         return ordinal[1] if ordinal else t.NUMBER_WORDS.get(token) or t.SHORT_FORMS.get(token, token)
 
     def _read(self, part: Part) -> Part:
-        text = re.sub(r"^(?:no|n|nº|n°|#)\s*(?=\d)", "", self.fold(part.raw).lower().replace("&", " and ").replace("'", "").strip())
+        text = _NO_NUMBER.sub("", self.fold(part.raw).lower().replace("&", " and ").replace("'", "").strip())
         tokens = re.sub(r"\b0+(?=\d)", "", re.sub(r"[^a-z0-9/\- ]+", " ", text)).split()
         part.n_tokens = len(tokens)
         for token in map(self._token, tokens):
-            if any(map(str.isdigit, token)):
+            if _DIGIT.search(token):
                 part.numbers.append(token)
             else:
-                part.words += [w for w in re.split("[-/ ]+", token) if w and w not in t.ADDRESS_FILLERS and w not in t.NULL_TOKENS]
+                part.words += [w for w in re.split("[-/ ]+", token) if w and w not in _SKIPPED]
         return part
 
     def address(self, raw: str | None, country: str) -> dict:
         parts = [Part(c.strip(), self._plain(c)) for c in _MOJIBAKE.sub(" ", raw or "").split(",")]
         states = [(k, s, len(p.plain) == 2) for k, p in enumerate(parts) if (s := self.state_of(p.raw, p.plain, country))]
         at, state, _ = max(states, key=lambda x: (x[2], x[0]), default=(-1, "", False))
-        read = [self._read(p) for k, p in enumerate(parts) if k != at and p.plain and p.plain not in t.NULL_TOKENS]
+        read = [self._read(p) for k, p in enumerate(parts) if k != at and p.plain and p.plain not in _NULLS]
         words, numbers = (" ".join(dict.fromkeys(x for p in read for x in getattr(p, kind))) for kind in ("words", "numbers"))
         house = next((p.house for p in read if p.house), "")
         return {"addr_norm": words, "addr_nums": numbers, "house_no": house, "state": state, "addr_missing": int(not words and not numbers)}
