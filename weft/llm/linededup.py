@@ -35,6 +35,8 @@ from weft.llm.shared import fresh, map_texts, maybe_in, stored
 
 #: Lines of a key compared in one task, pairs of lines given to one partition, and keys of a line, about.
 BLOCK, PAIRS, KEYS = 256, 1 << 20, 32
+#: Earlier lines of its group with which a line is compared first.
+FEW = 8
 
 
 class Near(NamedTuple):
@@ -259,17 +261,17 @@ def within_distance(symbols: np.ndarray, first: np.ndarray, size: np.ndarray, a:
     return out
 
 
-def _pairs(begin: np.ndarray, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of a row from ``first`` to below ``last`` and an earlier row of its group, which starts at ``begin``."""
-    rows = np.arange(first, last)
-    before = rows - begin[first:last]
+def _pairs(rows: np.ndarray, begin: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of each of ``rows`` and the earlier rows of its group, which starts at ``begin``, ``low`` + 1 to ``high`` back."""
+    before = np.clip(np.minimum(rows - begin, high) - low, 0, None)
     b = np.repeat(rows, before)
-    return begin[b] + np.arange(len(b)) - np.repeat(np.cumsum(before) - before, before), b
+    return b - low - 1 - (np.arange(len(b)) - np.repeat(np.cumsum(before) - before, before)), b
 
 
 def near_rows(symbols: np.ndarray, first: np.ndarray, size: np.ndarray, begin: np.ndarray, side: np.ndarray, distance: int, most: int = 1 << 18) -> np.ndarray:
     """Which lines are near an earlier one of their group. Groups follow each other; ``begin`` is where a line's starts.
-    Groups that have lines of two sides are compared across them only. ``most`` pairs are held at a time."""
+    Groups that have lines of two sides are compared across them only. ``most`` pairs are held at a time. A line that is near
+    one of the few before it is compared with no more, so a group of near copies costs little more than its size."""
     out = np.zeros(len(size), bool)
     counts = np.zeros((len(size), 64), np.int16)
     row = np.repeat(np.arange(len(size)), size)
@@ -279,18 +281,19 @@ def near_rows(symbols: np.ndarray, first: np.ndarray, size: np.ndarray, begin: n
     counts[:] = found
     starts = np.unique(begin)
     two = np.repeat(np.maximum.reduceat(side, starts) > np.minimum.reduceat(side, starts), np.diff(np.append(starts, len(size))))
-    before = np.cumsum(np.arange(len(size)) - begin)
-    at = 0
-    while at < len(size):
-        stop = max(at + 1, int(np.searchsorted(before, (before[at - 1] if at else 0) + most, "right")))
-        a, b = _pairs(begin, at, stop)
-        good = np.flatnonzero((np.abs(size[a] - size[b]) <= distance) & (~two[b] | (side[a] != side[b])))
-        a, b = a[good], b[good]
-        good = np.concatenate([np.abs(counts[a[k : k + 8192]] - counts[b[k : k + 8192]]).sum(1, dtype=np.int64) <= 2 * distance for k in range(0, len(a), 8192)] or [np.zeros(0, bool)])
-        a, b = a[good], b[good]
-        if len(a):
-            out[b[within_distance(symbols, first, size, a, b, distance)]] = True
-        at = stop
+    for low, high in ((0, FEW), (FEW, len(size))):
+        rows = np.flatnonzero(~out & (np.arange(len(size)) - begin > low))
+        total, at = np.cumsum(np.minimum(rows - begin[rows], high) - low), 0
+        while at < len(rows):
+            stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + most, "right")))
+            a, b = _pairs(rows[at:stop], begin[rows[at:stop]], low, high)
+            good = np.flatnonzero((np.abs(size[a] - size[b]) <= distance) & (~two[b] | (side[a] != side[b])))
+            a, b = a[good], b[good]
+            good = np.concatenate([np.abs(counts[a[k : k + 8192]] - counts[b[k : k + 8192]]).sum(1, dtype=np.int64) <= 2 * distance for k in range(0, len(a), 8192)] or [np.zeros(0, bool)])
+            a, b = a[good], b[good]
+            if len(a):
+                out[b[within_distance(symbols, first, size, a, b, distance)]] = True
+            at = stop
     return out
 
 
