@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
+import pytest
+
 from tests.conftest import DATA
 from weft.llm import queries
-from weft.llm.shared import drop_stored, maybe_in, stored
+from weft.llm.shared import drop_stored, maybe_in, shared_dir, stored
 
 
 def test_maybe_in_loses_nothing(spark):
@@ -39,3 +43,11 @@ def test_pipeline(spark):
 def test_every_operator_has_a_query():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://https://host"])
+def test_clusters_need_a_shared_folder(master):
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+    spark = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(spark)
