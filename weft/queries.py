@@ -7,6 +7,9 @@ once, in SQL that both engines read.
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -166,11 +169,8 @@ def tsv_round_trip(spark, d):
 
 def _scratch(spark: SparkSession, name: str) -> str:
     """A path in the folder that driver and executors share."""
-    import tempfile
-    import uuid
-
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and not spark.sparkContext.master.startswith("local["):
+    if not folder and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     folder = folder or "file://" + tempfile.mkdtemp()
     return f"{folder.rstrip('/')}/{uuid.uuid4().hex}-{name}"
