@@ -125,7 +125,9 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment:
     classes = shingles.select("length", "size", "s").distinct()
     placed = hits.join(F.broadcast(classes), ["size", "s"]).select("doc_id", "h", "size", "length", "s", F.floor(F.col("k") / F.col("length")).alias("j"))
     windows = placed.select("doc_id", "h", "size", "length", "s", F.explode(F.when(F.col("j") > 0, F.array(F.col("j") - 1, "j")).otherwise(F.array("j"))).alias("j")).distinct()
-    sets = windows.groupBy("doc_id", "h", "size", "length", "j").agg(F.collect_set("s").alias("found"))
+    # few bytes, but much work: dealt to as many tasks as a shuffle has, which adaptive execution doesn't merge
+    dealt = windows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id", "h")
+    sets = dealt.groupBy("doc_id", "h", "size", "length", "j").agg(F.collect_set("s").alias("found"))
     banded = sets.withColumn("band", F.explode(_bands(F.transform("found", lambda s: F.xxhash64(s)), bands)))
     library = shingles.groupBy("template", "length", "size").agg(F.collect_set("s").alias("wanted"))
     library = library.withColumn("band", F.explode(_bands(F.transform("wanted", lambda s: F.xxhash64(s)), bands)))
