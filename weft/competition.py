@@ -23,7 +23,7 @@ _NAN = _TOP + 2
 _CODES = _TOP + 3
 _SUMS = 3 * (2 * _TOP + 1)  # sums of two similarities; as doubles, equal sums may differ in the last place
 _HELD = 1 << 26  # bytes of ranks held at once
-_AT_ONCE = 1 << 20  # cells of histograms at once
+_AT_ONCE = 1 << 17  # cells of histograms at once
 
 _A = "a_id i a_most a_sum n_tsr_max combo_max n_hi_name n_house_eq n_name_eq n_both_eq a_twins a_place".split()
 _B = "b_id j b_tsr b_most b_combo_max b_deg b_name_eq_cnt b_house_eq_cnt a_tsr_rank a_tsr_gap n_cands a_tsr_max n_hi_addr b_other b_place".split()
@@ -135,7 +135,7 @@ class _Group:
         """Of each B key, ranks of the A keys ``of`` among all A, and its greatest similarity. A B's ``a_tsr`` is one, so its
         pairs stand in the order of ``n_tsr``."""
         b, b_null = self.b_bal[keys], self.b_null[keys]
-        total = self.n_all.sum()
+        total, single = self.n_all.sum(), (self.n_all == 1).all()
         ranks = np.empty((len(b), len(of)), np.uint16 if total < 1 << 16 else np.int64)
         most, step = np.empty(len(b), np.int64), max(1, _AT_ONCE // max(_CODES, len(self.all)))
         for k in range(0, len(b), step):
@@ -143,7 +143,8 @@ class _Group:
             code = _clipped(_codes(self.all, self.all_null, bal, unknown))
             most[k : k + step] = code.max(axis=1)
             rows = np.arange(len(bal))[:, None] * _CODES
-            n = np.bincount((code + rows).ravel(), np.broadcast_to(self.n_all, code.shape).ravel(), len(bal) * _CODES)
+            n = None if single else np.broadcast_to(self.n_all, code.shape).ravel()
+            n = np.bincount((code + rows).ravel(), n, len(bal) * _CODES).astype(np.int64, copy=False)  # added up faster than doubles
             below = np.cumsum(n.reshape(len(bal), _CODES), axis=1)
             mine = _clipped(_codes(self.a_bal[of], self.a_null[of], bal, unknown))
             ranks[k : k + step] = 1 + total - np.take_along_axis(below, mine, axis=1)
@@ -156,12 +157,12 @@ class _Group:
         most = np.empty((3, len(of)), np.int64)
         for k, x in enumerate(of):
             code = _codes(self.a_bal[x], self.a_null[x], self.b_bal, self.b_null)
-            below = np.cumsum(np.bincount(code, self.n_b, _CODES))
+            below = np.cumsum(np.bincount(code, self.n_b, _CODES).astype(np.int64))
             clipped = _clipped(code)
             both = clipped + self.tsr_code
             exact, plain = clipped / 100 / 2 + self.tsr / 2, both / 200
             key = 3 * both + 1 + (exact > plain) - (exact < plain)
-            lower = np.cumsum(np.bincount(key, self.n_b, _SUMS))
+            lower = np.cumsum(np.bincount(key, self.n_b, _SUMS).astype(np.int64))
             codes[k], by_name[k], by_sum[k] = code[keys], 1 + total - below[code[keys]], 1 + total - lower[key[keys]]
             most[:, k] = code.max(), both.max(), total - below[9000]
         return codes, by_name, by_sum, most
